@@ -10,8 +10,9 @@ pairs are formed. Then:
 
 * in each table's bucket the class with the most shared half-bands is the centre, and every member is held against it;
   links are confirmed on the full sets, and classes that they connect get one label,
-* where a bucket has members of different labels, all those pairs are compared by their minhashes, in blocks and each
-  pair once, and those that agree in percent - 20 of 100 places (four deviations below) are confirmed on the full sets.
+* where a bucket has members of different labels, those pairs are compared by their minhashes too, and the ones that agree
+  in percent - 20 of 100 places (four deviations below) are confirmed on the full sets. Buckets of up to SMALL members
+  name such pairs one by one; larger ones are gathered by their centre's label and compared in blocks.
 
 So a group of copies costs one comparison a member, only what its centre doesn't link costs more, and nothing is capped.
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from ._kernel import Words, mix, numbers, shingles
 from ._shared import materialize, small_batches, texts
 
-HALF, ROWS, BLOCK, LEEWAY = 11, 3, 256, 0.2
+HALF, ROWS, SMALL, BLOCK, LEEWAY = 11, 3, 16, 512, 0.2
 
 
 class Sets:
@@ -119,52 +120,110 @@ def tables_of(kept: DataFrame, half: int) -> DataFrame:
     return kept.select("cls", "pop", F.explode(keys).alias("k")).select("k.t", "k.key", "cls", "pop")
 
 
-def cross_pairs(members: DataFrame, half: int, least: float) -> DataFrame:
-    """Pairs (a, b) of classes that share a bucket and differ in label, each from the first table that they share.
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows of equal keys, one table after another, from batches sorted by them."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        codes = [np.unique(np.array(table.column(c).to_pylist(), object), return_inverse=True)[1] for c in keys]
+        cuts = [0, *(np.flatnonzero(np.any([c[1:] != c[:-1] for c in codes], axis=0)) + 1)]
+        yield from (table.slice(at, end - at) for at, end in zip(cuts, cuts[1:]))  # noqa: B905
+        held = table.slice(cuts[-1])
+    if held is not None and held.num_rows:
+        yield held
 
-    members: (key, t, cls, comp, major, sig, halves). Classes outside the bucket's major component (strays) are held
-    against all its members, in blocks of about BLOCK by BLOCK, so that no task holds a bucket. Only pairs whose minhashes
-    agree in `least` of the places go on.
+
+def objects(column) -> np.ndarray:
+    out = np.empty(len(column), object)
+    out[:] = column.to_pylist()
+    return out
+
+
+def ordered(x: bytes, y: bytes) -> tuple[bytes, bytes]:
+    return (x, y) if x > y else (y, x)
+
+
+def pairs_of(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+
+def small_bucket_pairs(members: DataFrame, half: int, least: float) -> DataFrame:
+    """Pairs (a, b) of classes that share a bucket and differ in label, each from the first table that they share, whose minhashes agree in `least` of the places.
+
+    members: (key, t, cls, comp, sig, halves), SMALL rows a key at most.
     """
-    size = members.groupBy("key").agg(F.count("*").alias("n"), F.count_if(F.expr("comp != major")).alias("s"))
-    sized = members.join(size, "key").withColumns({"nq": F.ceil(F.col("n") / BLOCK), "np": F.ceil(F.col("s") / BLOCK), "stray": F.expr("comp != major"), "own": F.xxhash64("cls")})
-    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
-    as_all = sized.select("key", "t", "cls", "comp", "sig", "halves", F.lit(False).alias("first"), F.explode(upto("np")).alias("p"), F.pmod("own", "nq").alias("q"))
-    as_stray = sized.where("stray").select("key", "t", "cls", "comp", "sig", "halves", F.lit(True).alias("first"), F.pmod("own", "np").alias("p"), F.explode(upto("nq")).alias("q"))
-    dealt = as_all.union(as_stray).repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(group: pa.Table):
-            cls, comp = (np.array(group.column(c).to_pylist(), object) for c in ("cls", "comp"))
-            first = np.array(group.column("first"))
+        for group in runs(batches, ["key"]):
+            cls, comp = objects(group.column("cls")), objects(group.column("comp"))
             sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(cls), -1)
             halves = np.zeros((len(cls), 2 * half), np.int64)  # 0: a half-band that no other class has
             for row, list_ in zip(halves, group.column("halves").to_pylist(), strict=True):
                 row[[x["i"] for x in list_]] = [x["h"] for x in list_]
             t = group.column("t")[0].as_py()
-            label = np.unique(comp, return_inverse=True)[1]
-            rest = np.flatnonzero(~first)
+            found = []
+            for x in range(len(cls)):
+                for y in range(x):
+                    if comp[x] != comp[y] and (sig[x] == sig[y]).mean() >= least:
+                        same = (halves[x] == halves[y]) & (halves[x] != 0)
+                        if same[:half].argmax() * half + same[half:].argmax() == t:
+                            found.append(ordered(cls[x], cls[y]))
+            if found:
+                yield pairs_of(found)
+
+    dealt = members.select("key", "t", "cls", "comp", "sig", "halves").repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def group_links(members: DataFrame, least: float, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between classes of different labels that met in large buckets.
+
+    members: (major, cls, comp, sig, items), a class once a major label. Classes of other labels (strays) are held against
+    all members, in blocks of about BLOCK by BLOCK with the members' full sets, so no task holds a group, and what moves
+    grows with n * strays / BLOCK. A pair whose labels are linked in the block already needs no second look.
+    """
+    size = members.groupBy("major").agg(F.count("*").alias("n"), F.count_if(F.expr("comp != major")).alias("s"))
+    sized = members.join(size, "major").withColumns({"nq": F.ceil(F.col("n") / BLOCK), "np": F.ceil(F.col("s") / BLOCK), "stray": F.expr("comp != major"), "own": F.xxhash64("cls")})
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    names = ["major", "cls", "comp", "sig", "items"]
+    as_all = sized.where("s > 0").select(*names, F.lit(False).alias("first"), F.explode(upto("np")).alias("p"), F.pmod("own", "nq").alias("q"))
+    as_stray = sized.where("stray").select(*names, F.lit(True).alias("first"), F.pmod("own", "np").alias("p"), F.explode(upto("nq")).alias("q"))
+    dealt = as_all.union(as_stray).repartition("major", "p", "q").sortWithinPartitions("major", "p", "q")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, ["major", "p", "q"]):
+            cls, first = objects(group.column("cls")), np.array(group.column("first").to_pylist(), bool)
+            label = np.unique(objects(group.column("comp")), return_inverse=True)[1]
+            sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(cls), -1)
+            lists = group.column("items").combine_chunks()
+            flat, offsets = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
+            items = [flat[offsets[i] : offsets[i + 1]].view(np.uint64) for i in range(len(cls))]
+            root = list(range(label.max() + 1))
+
+            def find(x, root=root):
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            rest, found = np.flatnonzero(~first), []
             for x in np.flatnonzero(first):
-                near = rest[(label[rest] != label[x]) & ((sig[rest] == sig[x]).mean(1) >= least)]
-                if len(near):
-                    same = (halves[near] == halves[x]) & (halves[x] != 0)
-                    near = near[same[:, :half].argmax(1) * half + same[:, half:].argmax(1) == t]
-                    yield from ((max(cls[x], cls[y]), min(cls[x], cls[y])) for y in near)
-
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            ids = np.stack([np.array(table.column(c)) for c in ("key", "p", "q")])
-            cuts = [0, *(np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(0)) + 1)]
-            for at, end in zip(cuts, cuts[1:]):  # noqa: B905
-                found = list(pairs(table.slice(at, end - at)))
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found, strict=True)], ["a", "b"])
-            held = table.slice(cuts[-1])
-        if held is not None and held.num_rows:
-            found = list(pairs(held))
+                agree = (sig[rest] == sig[x]).mean(1)
+                near = rest[(agree >= least) & (label[rest] != label[x])]
+                near = near[np.argsort(-agree[np.searchsorted(rest, near)], kind="stable")]
+                own = items[x]
+                for at, end in ((0, 16), (16, len(near))):  # the likeliest first: what they link needs no others
+                    some = [y for y in near[at:end] if find(label[y]) != find(label[x])]
+                    if some:
+                        size = np.array([len(items[y]) for y in some])
+                        every = np.concatenate([items[y] for y in some])
+                        hit = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+                        common = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
+                        for i in np.flatnonzero(100 * common >= percent * (len(own) + size - common)):
+                            found.append(ordered(cls[x], cls[some[i]]))
+                            root[find(label[some[i]])] = find(label[x])
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found, strict=True)], ["a", "b"])
+                yield pairs_of(found)
 
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
@@ -202,9 +261,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # members of one bucket with different labels
     marked = buckets.join(comp, F.col("cls") == F.col("node"), "left").select("key", "t", "cls", "centre", F.coalesce("comp", "cls").alias("comp"))
-    open_ = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.expr("cls = centre"), F.col("comp"))).alias("major"), F.count("*").alias("n")).where("lo < hi AND n > 2").select("key", "major")
-    more = cross_pairs(marked.join(open_, "key").join(kept.select("cls", "sig", "halves"), "cls"), half, percent / 100 - LEEWAY)
-    links = materialize(links.union(confirmed(more)))
+    open_ = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.expr("cls = centre"), F.col("comp"))).alias("major"), F.count("*").alias("n")).where("lo < hi AND n > 2").select("key", "major", "n")
+    unsettled = materialize(marked.join(open_, "key").select("key", "t", "cls", "comp", "major", "n"))
+    known = kept.select("cls", "sig", "halves")
+    few = confirmed(small_bucket_pairs(unsettled.where(F.col("n") <= SMALL).join(known, "cls"), half, percent / 100 - LEEWAY))
+    large = unsettled.where(F.col("n") > SMALL).select("major", "cls", "comp").distinct()
+    many = group_links(large.join(known.select("cls", "sig"), "cls").join(items, "cls"), percent / 100 - LEEWAY, percent)
+    links = materialize(links.union(few).union(many))
     comp = materialize(components(links))
 
     # back to rows: the smallest id of all classes of a component
