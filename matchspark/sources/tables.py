@@ -23,7 +23,7 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -
 def write_csv(df: DataFrame, path: str, rename: dict[str, str] | None = None) -> None:
     for a, b in (rename or {}).items():
         df = df.withColumnRenamed(a, b)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str = KNOWLEDGE) -> DataFrame:
