@@ -7,7 +7,8 @@ smallest total that the choice saves; texts whose score is below MARGIN are reje
 Matches may be as short as three bytes, since most words of a language are short.
 
 Dictionaries come from a bounded sample: for each language the SAMPLE labelled documents whose ids' hashes are smallest,
-and DICTIONARY bytes of their texts in all. Everything else reads whole texts.
+and DICTIONARY bytes of their texts in all. Only rows whose hash is below SPARE times the expected bound are ranked, so what
+is ranked doesn't grow with the input. Everything else reads whole texts.
 
 Null texts and texts without a letter are `und`, with score 0, and rejected. So are all texts where nothing was learned.
 Ties go to the language that is first by code point. Rows are independent of each other.
@@ -27,7 +28,7 @@ from pyspark.sql.window import Window as W
 
 from ._shared import small_batches
 
-SAMPLE, DICTIONARY, PIECE, SHORTEST, MARGIN = 256, 1 << 17, 1 << 12, 3, 0.01
+SAMPLE, SPARE, DICTIONARY, PIECE, SHORTEST, MARGIN = 256, 4, 1 << 17, 1 << 12, 3, 0.01
 #: Per byte: A-Z in lower case; all else of ASCII that is no letter becomes a space.
 PLAIN = bytes(x + 32 if 65 <= x <= 90 else x if x >= 128 or 97 <= x <= 122 else 32 for x in range(256))
 LETTER = re.compile(r"[^\W\d_]")
@@ -44,14 +45,15 @@ def held_out(id_: Column) -> Column:
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, size: int = DICTIONARY) -> dict[str, bytes]:
     """Raw dictionaries by language, from `sample` documents a language at most. docs has the rows that may be learned from."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL AND id IS NOT NULL")
-    order = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    some = rows.select("id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample).select("id", "lang").distinct()
-    ids = [r.id for r in some.collect()]
+    named = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL AND id IS NOT NULL")
+    rows = named.withColumn("h", F.xxhash64("id"))
+    count = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("n")))  # a row a language
+    below = (F.col("h").cast("double") + 2.0**63) * F.col("n") <= SPARE * sample * 2.0**64
+    near = rows.join(count, "lang").where(below).select("id", "lang", "h", F.substring("text", 1, 4 * size // sample).alias("text"))
+    place = F.row_number().over(W.partitionBy("lang").orderBy("h", "id", "text"))
     by: dict[str, dict] = {}
-    if ids:
-        for r in rows.where(F.col("id").isin(ids)).select("id", "lang", F.substring("text", 1, 4 * size // sample).alias("text")).collect():
-            by.setdefault(r.lang, {}).setdefault(r.id, plain(r.text))
+    for r in near.withColumn("place", place).where(F.col("place") <= sample).collect():
+        by.setdefault(r.lang, {}).setdefault(r.id, plain(r.text))
     return {lang: b" ".join(t[: size // len(got) - 1] for _, t in sorted(got.items()))[:size] for lang, got in sorted(by.items())}
 
 
