@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ._kernel import Words, mix, numbers, shingles
@@ -98,18 +98,19 @@ def components(edges: DataFrame) -> DataFrame:
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         near = both.join(low, "a")
         out = near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")) if large else near.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        return out.where("a != b").distinct()
-
-    def state(e: DataFrame):
-        return e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-
-    edges = materialize(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    was, now = None, state(edges)
-    while now != was:
-        big = star(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), True)
-        down = big.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        edges = materialize(star(down, False))
-        was, now = now, state(edges)
+        return out.where("a != b")
+
+    def written(e: DataFrame) -> tuple[DataFrame, dict]:
+        """The distinct edges, with their number and checksum counted while they are written."""
+        seen = Observation()
+        out = materialize(e.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")))
+        return out, seen.get
+
+    edges, now = written(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    was = None
+    while now.get("n") and now != was:
+        big = star(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), True)  # as many rows as edges: the small star's distinct does for both
+        was, (edges, now) = now, written(star(big.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), False))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
@@ -267,8 +268,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     few = confirmed(small_bucket_pairs(unsettled.where(F.col("n") <= SMALL).join(known, "cls"), half, percent / 100 - LEEWAY))
     large = unsettled.where(F.col("n") > SMALL).select("major", "cls", "comp").distinct()
     many = group_links(large.join(known.select("cls", "sig"), "cls").join(items, "cls"), percent / 100 - LEEWAY, percent)
-    links = materialize(links.union(few).union(many))
-    comp = materialize(components(links))
+    stars = comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))  # what the first links connect, in fewer steps
+    comp = materialize(components(stars.union(few).union(many)))
 
     # back to rows: the smallest id of all classes of a component
     named = sets.groupBy("cls").agg(F.min("id").alias("low")).join(comp, F.col("cls") == F.col("node"), "left").select("cls", "low", F.coalesce("comp", "cls").alias("comp"))
