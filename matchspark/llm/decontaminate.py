@@ -2,13 +2,19 @@
 
 Each benchmark item belongs to a window size, the largest of SIZES that leaves room for STEP alignments in it. Windows of
 that many words at every STEP-th word of a document, and at every word of the item, get a 64-bit SimHash of their words,
-weighted by length. So any whole passage in a document has a window that stands exactly as one of the item's does.
+weighted by length.
 
 A multi-index finds all of the item's windows within RADIUS: fingerprints are cut into four blocks of 16 bits, and of two
 fingerprints at most 7 bits apart some block differs in one bit at most. Items are entered under each block's value and its
-16 neighbours, so a document's window asks four times. Then an exact comparison decides: the weighted Jaccard similarity of
-the shingles of five words (multisets; a shingle weighs what its words do), of the item and of as many words of the
-document, where the window says that the passage stands, or up to SHIFT words beside.
+16 neighbours, so a document's window asks four times.
+
+Windows miss near copies that fall between the steps or are too altered, so each item has seeds too: the shingles that the
+fewest items have, as many as weigh more than 1 - LEAST of the item. What lacks all of an item's seeds can't be similar
+enough; each word of a document is looked up among them, so every passage that is similar enough is found, wherever it stands.
+
+Then an exact comparison decides: the weighted Jaccard similarity of the shingles of five words (multisets; a shingle weighs
+what its words do), of the item and of as many words of the document, from the word where that is highest. At a document's
+edges the words may be fewer.
 
 Words are runs of letters and digits in lower case (bytes beyond ASCII count as letters). Items of fewer than five words are
 one shingle. Null or empty texts on either side match nothing; repeated items each have their own rows; rows that share a
@@ -31,8 +37,8 @@ from ._kernel import Words, shingles
 from ._shared import texts
 
 SIZES = [1, 2, 3, 4, 6, *(b << e for e in range(9) for b in (8, 12))]
-STEP, RADIUS, SHINGLE, SHIFT, LEAST, HEAVY = 4, 7, 5, 3, 0.8, 15
-ITEMS, BYTES, CHUNK = 20_000, 1 << 24, 1 << 14
+STEP, RADIUS, SHINGLE, LEAST, HEAVY = 4, 7, 5, 0.8, 15
+ITEMS, BYTES, CHUNK, PROBE = 20_000, 1 << 24, 1 << 14, 20  # bits of a hash that are probed first
 NOT_WORD = bytes(x for x in range(128) if not chr(x).isalnum())
 
 
@@ -54,21 +60,10 @@ def signs(sums: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.packbits(sums > (weight // 2)[:, None], axis=1).view(np.uint64).ravel()
 
 
-def weighed(h: np.ndarray, w: np.ndarray) -> dict[int, float]:
-    """Weight of each shingle, repeats added up."""
-    k = min(SHINGLE, len(h))
-    out: dict[int, float] = {}
-    if k:
-        run = np.concatenate(([0], np.cumsum(w, dtype=np.int64)))
-        for x, y in zip(shingles(h, k).tolist(), (run[k:] - run[:-k]).tolist(), strict=True):
-            out[x] = out.get(x, 0) + y
-    return out
-
-
-def similarity(a: dict[int, float], b: dict[int, float]) -> float:
-    common = sum(min(x, b[k]) for k, x in a.items() if k in b)
-    total = sum(a.values()) + sum(b.values()) - common
-    return common / total if total else 0.0
+def weighed(h: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and weight of each k words in a row."""
+    run = np.concatenate(([0], np.cumsum(w, dtype=np.int64)))
+    return shingles(h, k), run[k:] - run[:-k]
 
 
 class Index:
@@ -85,7 +80,9 @@ class Index:
             sums, weight = planes(h, w), np.concatenate(([0], np.cumsum(w, dtype=np.int64)))
             f = signs(sums[size:] - sums[:-size], weight[size:] - weight[:-size])
             by.setdefault(size, []).append((f, np.full(len(f), len(self.items), np.int32), np.arange(len(f), dtype=np.int32)))
-            self.items.append((i, len(h), weighed(h, w)))
+            s, each = weighed(h, w, min(SHINGLE, len(h)))
+            own, first, copies = np.unique(s, return_index=True, return_counts=True)
+            self.items.append((i, len(h), own, copies, each[first] * copies))
         self.by = {}
         for size, parts in sorted(by.items()):
             f, item, offset = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -96,6 +93,76 @@ class Index:
                 order = np.argsort(keys, kind="stable")
                 blocks.append((np.searchsorted(keys[order], np.arange(65537)).astype(np.int32), (order // 17).astype(np.int32)))
             self.by[size] = (f, item, offset, blocks)
+        self.seeds = self._seeds()
+
+    def _seeds(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """By words a shingle: (probe, hashes, where each one's items start, items)."""
+        if not self.items:
+            return {}
+        every, held = np.unique(np.concatenate([x[2] for x in self.items]), return_counts=True)
+        by: dict[int, list] = {}
+        for i, (_, n, own, _, weight) in enumerate(self.items):
+            order = np.lexsort((own, held[np.searchsorted(every, own)]))
+            whole = int(weight.sum())
+            enough = np.flatnonzero(whole - np.cumsum(weight[order]) < LEAST * whole - 1e-9)[0]
+            seeds = own[order[: enough + 1]]
+            by.setdefault(min(SHINGLE, n), []).append((seeds, np.full(len(seeds), i)))
+        out = {}
+        for k, parts in by.items():
+            seeds, item = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(seeds, kind="stable")
+            keys, start = np.unique(seeds[order], return_index=True)
+            probe = np.zeros(1 << PROBE, bool)
+            probe[keys >> np.uint64(64 - PROBE)] = True
+            out[k] = (probe, keys, np.append(start, len(order)), item[order])
+        return out
+
+    def seeded(self, h: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(document, item) where a document has one of the item's seeds."""
+        for k, (probe, keys, start, item) in self.seeds.items():
+            if k != SHINGLE:
+                continue
+            s = shingles(h, k)
+            hit = np.flatnonzero(probe[s >> np.uint64(64 - PROBE)])
+            hit = hit[doc[hit] == doc[hit + k - 1]]
+            at = np.minimum(np.searchsorted(keys, s[hit]), len(keys) - 1)
+            same = keys[at] == s[hit]
+            for d, x in set(zip(doc[hit[same]].tolist(), at[same].tolist(), strict=True)):
+                yield from ((d, i) for i in item[start[x] : start[x + 1]].tolist())
+
+    def best(self, h: np.ndarray, w: np.ndarray, item: int) -> tuple[float, int]:
+        """The highest similarity of the item and as many words of one document, and the first word where it is reached."""
+        _, n, own, copies, weight = self.items[item]
+        k, whole = min(SHINGLE, n), int(weight.sum())
+        if len(h) < k:
+            return 0.0, 0
+        s, each = weighed(h, w, k)
+        at = np.minimum(np.searchsorted(own, s), len(own) - 1)
+        place = np.flatnonzero(own[at] == s)
+        run, known = np.concatenate(([0], np.cumsum(each))), np.concatenate(([0], np.cumsum(np.where(own[at] == s, each, 0))))
+        begin = np.arange(1 - n, len(h))
+        a, z = np.clip(begin, 0, len(s)), np.clip(begin + n - k + 1, 0, len(s))
+        z = np.maximum(a, z)
+        most = np.minimum(known[z] - known[a], whole)
+        most = most / (whole + run[z] - run[a] - most)  # repeats counted as often as they stand
+        order = np.flatnonzero(most >= LEAST)
+        order = order[np.argsort(-most[order], kind="stable")]
+        # a repeat counts unless the window has as many before it as the item has in all
+        key = at[place]
+        by_key = np.argsort(key, kind="stable")
+        back, before = np.full(len(place), -1), np.arange(len(place)) - copies[key[by_key]]
+        full = (before >= 0) & (key[by_key[before]] == key[by_key])
+        back[by_key[full]] = place[by_key[before[full]]]
+        top, word = 0.0, 0
+        for x in order.tolist():
+            if top == 1.0 or most[x] < top:
+                break
+            low, high = np.searchsorted(place, (a[x], z[x]))
+            common = int(each[place[low:high]][back[low:high] < a[x]].sum())
+            alike = common / (whole + int(run[z[x]] - run[a[x]]) - common)
+            if alike >= LEAST and (alike, -int(a[x])) > (top, -word):
+                top, word = alike, int(a[x])
+        return top, word
 
     def near(self, size: int, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (window, item window) at most RADIUS bits apart."""
@@ -141,25 +208,20 @@ class Index:
 
     def leaks(self, h: np.ndarray, w: np.ndarray, doc: np.ndarray) -> dict[tuple[int, int], tuple[float, int]]:
         """(document, item) -> (similarity, word of the document where it begins)."""
-        best: dict[tuple[int, int], tuple[float, int]] = {}
+        edges = np.searchsorted(doc, np.arange(doc[-1] + 2))
+        pairs = set(self.seeded(h, doc))
         reach = max(self.by, default=0)
-        edges = np.searchsorted(doc, np.arange(doc[-1] + 2)) if len(doc) else []
         for at in range(0, len(h), CHUNK):
             end = min(len(h), at + CHUNK + reach)
             for place, item in set(self.windows(h[at:end], w[at:end], doc[at:end], 0, CHUNK)):
-                name, n, own = self.items[item]
-                d = int(doc[min(max(place + at, 0) + n // 2, len(doc) - 1)])
-                for d in {d, int(doc[min(max(place + at + SHIFT, 0), len(doc) - 1)])}:  # noqa: B020
-                    low, high = int(edges[d]), int(edges[d + 1])
-                    for shift in sorted(range(-SHIFT, SHIFT + 1), key=abs):
-                        a = max(low, place + at + shift)
-                        z = min(high, max(a, place + at + shift + n))
-                        s = similarity(own, weighed(h[a:z], w[a:z])) if z > a else 0.0
-                        if s >= LEAST and s > best.get((d, item), (0.0, 0))[0]:
-                            best[d, item] = (s, a - low)
-                        if s == 1.0:
-                            break
-        return best
+                middle = place + at + self.items[item][1] // 2
+                pairs |= {(int(doc[min(max(x, 0), len(doc) - 1)]), item) for x in (place + at, middle)}
+        out = {}
+        for d, item in sorted(pairs):
+            found = self.best(h[edges[d] : edges[d + 1]], w[edges[d] : edges[d + 1]], item)
+            if found[0]:
+                out[d, item] = found
+        return out
 
 
 def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:

@@ -141,6 +141,40 @@ def test_index_finds_all_within_radius(flips, seed):
     assert 0 in y.tolist()
 
 
+def brute_leak(doc, item):
+    """The best similarity of the item's words and as many of the document's, by counting shingles at every start."""
+    k, heavy = min(5, len(item)), lambda x: sum(min(len(w.encode()), 15) for w in x)
+
+    def grams(x):
+        return Counter(tuple(x[i : i + k]) for i in range(len(x) - k + 1))
+
+    own, best = grams(item), 0.0
+    for a in range(1 - len(item), len(doc)):
+        other = grams(doc[max(a, 0) : max(a + len(item), 0)])
+        common = sum(heavy(x) * n for x, n in (own & other).items())
+        best = max(best, common / sum(heavy(x) * n for x, n in (own | other).items()))
+    return best
+
+
+def test_near_copies_leak_wherever_they_stand(spark):
+    r = np.random.default_rng(7)
+    items = {i: [f"w{x}" for x in r.integers(0, 40 if i % 3 else 10**6, n)] for i, n in enumerate([51, 20, 33, 9, 64, 120])}
+    docs = [(100 + n, items[0][:48]) for n in range(4)]
+    for i, item in items.items():
+        for at in range(4):
+            w = item[:]
+            w[r.integers(len(w))] = "new"
+            w.insert(int(r.integers(len(w))), "added") if at % 2 else w.pop(int(r.integers(len(w))))
+            docs += [(1000 + 10 * i + at, ["x"] * at + w + ["y"] * 7), (2000 + 10 * i + at, item[at:])]
+    df = frame(spark, [(i, " ".join(w)) for i, w in docs])
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    want = {(d, i): round(s, 6) for d, w in docs for i, item in items.items() if (s := brute_leak(w, item)) >= 0.8}
+    assert {(100 + n, 0) for n in range(4)} <= set(want)
+    for parts in (1, 3):
+        got = {(x.doc_id, x.item_id): x.similarity for x in decontaminate.find_leaks(df.repartition(parts), bench).collect()}
+        assert got == want
+
+
 # ---- 3, 9 ----
 
 
