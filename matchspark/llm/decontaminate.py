@@ -17,7 +17,7 @@ what its words do), of the item and of as many words of the document, from the w
 edges the words may be fewer.
 
 Words are runs of letters and digits in lower case (bytes beyond ASCII count as letters). Items of fewer than five words are
-one shingle. Null or empty texts on either side match nothing; repeated items each have their own rows; rows that share a
+one shingle of as many words, looked up at each word too. Null or empty texts on either side match nothing; repeated items each have their own rows; rows that share a
 doc_id are looked at separately, and their best similarity is told.
 
 The benchmark is split into blocks of at most ITEMS items and BYTES bytes, which go to the executors one after another, so
@@ -120,8 +120,6 @@ class Index:
     def seeded(self, h: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, int]]:
         """(document, item) where a document has one of the item's seeds."""
         for k, (probe, keys, start, item) in self.seeds.items():
-            if k != SHINGLE:
-                continue
             s = shingles(h, k)
             hit = np.flatnonzero(probe[s >> np.uint64(64 - PROBE)])
             hit = hit[doc[hit] == doc[hit + k - 1]]

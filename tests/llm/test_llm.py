@@ -175,6 +175,15 @@ def test_near_copies_leak_wherever_they_stand(spark):
         assert got == want
 
 
+def test_short_items_leak_at_every_word(spark):
+    items = {n: [f"s{n}x{i}" for i in range(n)] for n in (1, 2, 3, 4)}
+    docs = [(10 * n + at, " ".join(["x"] * at + w + ["y"] * (5 + n))) for n, w in items.items() for at in range(4)]
+    near = [(100 + n, " ".join(["x", *w[:-1], "y", w[-1]])) for n, w in items.items() if n > 1]
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.similarity, r.first_word) for r in decontaminate.find_leaks(frame(spark, docs + near).coalesce(1), bench).collect()}
+    assert got == {(10 * n + at, n, 1.0, at) for n in items for at in range(4)}
+
+
 # ---- 3, 9 ----
 
 
