@@ -16,8 +16,9 @@ pairs are formed. Then:
 
 So a group of copies costs one comparison a member, only what its centre doesn't link costs more, and nothing is capped.
 
-Null doc_ids don't name a component; a class of such rows only has a null component_id and is kept. Rows that share a
-doc_id are classed by their own texts.
+Null doc_ids don't name a component; a component of such rows only has a null component_id and its rows are kept. Rows that
+share a doc_id are classed by their own texts. deduplicate() keeps one row of each component by a key of id and text, so null
+and shared ids lose no text.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ._kernel import Words, mix, numbers, shingles
@@ -55,7 +56,7 @@ def digest(items: np.ndarray) -> bytes:
 
 
 def sketch(docs: DataFrame, k: int, half: int, rows: int) -> DataFrame:
-    """(id, n, cls, sig, halves) of each row: set size, digest, the low byte of each minhash, half-band keys."""
+    """(id, key, n, cls, sig, halves) of each row: set size, digest, the low byte of each minhash, half-band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, n = Sets(k), 2 * half * rows
@@ -74,9 +75,9 @@ def sketch(docs: DataFrame, k: int, half: int, rows: int) -> DataFrame:
                 low = mix(low)
                 sig.append(low.astype(np.uint8).tobytes())
                 keys.append(mix((low.reshape(2 * half, rows) * weight).sum(1, dtype=np.uint64) + side).view(np.int64) if len(items) else [])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["id", "n", "cls", "sig", "halves"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(size, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["id", "key", "n", "cls", "sig", "halves"])
 
-    return docs.mapInArrow(run, "id long, n long, cls binary, sig binary, halves array<long>")
+    return docs.select("id", "text", "key").mapInArrow(run, "id long, key string, n long, cls binary, sig binary, halves array<long>")
 
 
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -229,9 +230,13 @@ def group_links(members: DataFrame, least: float, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 80, half: int = HALF, rows: int = ROWS) -> DataFrame:
-    """(id_col, n_shingles, component_id, kept): rows linked where 100 * intersection >= percent * union of their shingle sets."""
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+def row_key(id_col: str, text_col: str) -> Column:
+    """Tells rows apart whose id or text differs."""
+    return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.coalesce(F.md5(F.col(text_col)), F.lit("null")))
+
+
+def labelled(docs: DataFrame, k: int, percent: int, half: int, rows: int) -> DataFrame:
+    """(id, key, n, comp, component) of rows (id, text, key): comp names the component, component is its smallest id; both are null where a text has no words."""
     seen = materialize(sketch(docs, k, half, rows))
     sets = seen.where("n > 0")
     classes = sets.groupBy("cls").agg(F.first("sig").alias("sig"), F.first("halves").alias("halves"))
@@ -249,7 +254,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # full sets of the classes in any bucket
     inside = buckets.select("cls").distinct()
     one_row = sets.join(inside, "cls", "left_semi").groupBy("cls").agg(F.min("id").alias("id"))
-    again = docs.join(one_row.select("id").distinct(), "id", "left_semi")
+    again = docs.join(one_row.select("id").distinct(), "id", "left_semi").union(docs.where("id IS NULL"))
     items = materialize(full_sets(again, k).dropDuplicates(["cls"]).join(inside, "cls", "left_semi"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -273,12 +278,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # back to rows: the smallest id of all classes of a component
     named = sets.groupBy("cls").agg(F.min("id").alias("low")).join(comp, F.col("cls") == F.col("node"), "left").select("cls", "low", F.coalesce("comp", "cls").alias("comp"))
-    named = named.join(named.groupBy("comp").agg(F.min("low").alias("component")), "comp").select("cls", "component")
-    out = seen.select("id", "n", "cls").join(named, "cls", "left").select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))
+    named = named.join(named.groupBy("comp").agg(F.min("low").alias("component")), "comp").select("cls", "comp", "component")
+    return seen.select("id", "key", "n", "cls").join(named, "cls", "left").select("id", "key", "n", "comp", "component")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 80, half: int = HALF, rows: int = ROWS) -> DataFrame:
+    """(id_col, n_shingles, component_id, kept): rows linked where 100 * intersection >= percent * union of their shingle sets."""
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.lit(None).cast("string").alias("key"))
+    out = labelled(docs, k, percent, half, rows).select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of docs that near_duplicates keeps, one a doc_id, with docs's columns."""
-    stay = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).alias("_stay")).distinct()
-    return docs.dropDuplicates([id_col]).join(stay, docs[id_col].eqNullSafe(F.col("_stay")), "left_semi")
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 80, half: int = HALF, rows: int = ROWS) -> DataFrame:
+    """One row of docs for each component, with docs's columns: of the smallest id (null last), then the smallest row key.
+
+    Texts without words have no component: they all stay, except rows that repeat both id and text.
+    """
+    key = row_key(id_col, text_col)
+    seen = labelled(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), key.alias("key")), k, percent, half, rows)
+    first = seen.where("n > 0").groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("m")).select("m.key")
+    stay = materialize(first.union(seen.where("n = 0").select("key").distinct())).select(F.col("key").alias("_row"))
+    return docs.withColumn("_row", key).join(stay, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")

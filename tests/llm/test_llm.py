@@ -342,6 +342,17 @@ def test_near_duplicates_edges(edge, empty, spark):
     assert sorted(r.doc_id or 0 for r in neardup.deduplicate(edge).collect()) == [0, 1, 2, 3, 4, 6, 8, 9, 10, 11, 12, 13]
 
 
+def test_null_and_shared_ids_lose_no_text(spark):
+    text = [" ".join(f"t{n}w{i}" for i in range(60)) for n in range(8)]
+    near = text[0].replace("t0w30", "other")
+    given = [(None, text[0]), (None, near), (None, text[1]), (None, text[1]), (5, text[2]), (5, text[3]), (6, text[3]), (None, text[4]), (4, text[4].upper()), (None, None), (None, ""), (9, text[5]), (9, text[5])]
+    for parts in (1, 4):
+        got = Counter((r.doc_id, r.text) for r in neardup.deduplicate(frame(spark, given).repartition(parts)).collect())
+        one = [x for x in ((None, text[0]), (None, near)) if x in got]
+        assert len(one) == 1
+        assert got == Counter([*one, (None, text[1]), (5, text[2]), (5, text[3]), (4, text[4].upper()), (None, None), (None, ""), (9, text[5])])
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in [(1, 2), (2, 3), (9, 3), (5, 6), (7, 7)] + [(i, i + 1) for i in range(20, 60)]], "a binary, b binary")
     got = {bytes(r.node)[0]: bytes(r.comp)[0] for r in neardup.components(edges).collect()}
