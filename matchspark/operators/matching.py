@@ -40,6 +40,25 @@ def with_ratio(pairs: DataFrame, a: str, b: str, name: str = "fuzzy", ratio=None
     return pairs.join(distinct, [a, b])
 
 
+def name_keys(c: Column) -> Column:
+    """A name's words, and the three-character pieces of its words in order.
+
+    Names without a common word have the token-set ratio of their sorted words. At 90 or more, n characters in all differ
+    in n / 10 edits at most, so some three characters in a row stay: such names, too, share a key.
+    """
+    words = F.array_sort(F.array_distinct(F.filter(F.split(c, r"\s+"), lambda x: x != "")))
+    line = F.array_join(words, " ")
+    pieces = F.transform(F.sequence(F.lit(1), F.greatest(F.length(line) - 2, F.lit(1))), lambda i: F.concat(F.lit("#"), F.substr(line, i, F.lit(3))))
+    return F.array_distinct(F.concat(words, pieces))
+
+
+def similar_names(b: DataFrame, a: DataFrame, least: float = 90) -> DataFrame:
+    """(b_brand, a_brand, score): each b_brand's most similar a_brand by token-set ratio, from `least`, 90 at least. Only names that share a key are scored; that loses none."""
+    near = b.select("b_brand", F.explode(name_keys(F.col("b_brand"))).alias("k")).join(a.select("a_brand", F.explode(name_keys(F.col("a_brand"))).alias("k")), "k").select("b_brand", "a_brand").distinct()
+    scored = with_ratio(near, "b_brand", "a_brand", "score", fuzzy.token_set_udf).where(F.col("score") >= least)
+    return top(scored, ["b_brand"], [F.desc("score"), "a_brand"], 1).drop("rank")
+
+
 def union_candidates(*sources: DataFrame) -> DataFrame:
     """One row a pair from rows (item_id_a, item_id_b, source, score, ...): sources sorted and joined by +, the highest score and features."""
     rows = sources[0]

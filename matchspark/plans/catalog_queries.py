@@ -286,14 +286,10 @@ def narrowed_block(spark, sf_dir):
 
 @query()
 def alias_fuzzy_join(spark, sf_dir):
-    """Brands of B that A lacks, each with A's most similar brand. Distinct brands are few beside records; pairs are scored once."""
+    """Brands of B that A lacks, each with A's most similar brand; no rows where A has them all."""
     p = catalog.parts(spark, sf_dir).withColumn("b", F.concat_ws(" ", "brand_norm", "category_norm")).where("b != ''")
-    a, b = (p.where(F.col("store_id") == s).groupBy("b").agg(F.count("*").alias("n")) for s in "AB")
-    lone = b.join(a, "b", "left_anti")
-    words = lambda d, n: d.select(F.col("b").alias(n), F.explode(F.split("b", " ")).alias("w")).where("w != 'brand'")
-    near = words(b if lone.isEmpty() else lone, "b_brand").join(words(a, "a_brand"), "w").select("b_brand", "a_brand").distinct().where("a_brand != b_brand")
-    scored = matching.with_ratio(near, "b_brand", "a_brand", "score", fuzzy.token_set_udf).where("score >= 90")
-    return matching.top(scored, ["b_brand"], [F.desc("score"), "a_brand"], 1).drop("rank")
+    a, b = (p.where(F.col("store_id") == s).select("b").distinct() for s in "AB")
+    return matching.similar_names(b.join(a, "b", "left_anti").select(F.col("b").alias("b_brand")), a.select(F.col("b").alias("a_brand")))
 
 
 # ---- similarity ----

@@ -69,6 +69,25 @@ def test_ratio_is_symmetric_and_bounded(a, b):
     assert abs(x - fuzzy.weighted_ratio(b, a)) < 1e-9
 
 
+def test_similar_names_equal_all_pairs(spark):
+    r = __import__("random").Random(4)
+    a = ["kellogg", "general mills", "amy s kitchen", "ab", "clif bar company", "stonyfield organic farms", *("".join(r.choices("abcd", k=r.randint(5, 12))) for _ in range(60))]
+    b = ["kelloggs", "generalmills", "amys kitchen", "ab c", "clifbar compan", "zz", *(x[:i] + x[i + 1 :] for x in a for i in (r.randrange(len(x)),))]
+    got = {tuple(x) for x in matching.similar_names(*(spark.createDataFrame([(x,) for x in sorted(set(v))], f"{n} string") for v, n in ((b, "b_brand"), (a, "a_brand")))).collect()}
+    best = {x: max(((round(fuzzy.token_set_ratio(x, y), 6), y) for y in sorted(set(a))), key=lambda v: v[0]) for x in set(b)}
+    assert got == {(x, y, s) for x, (s, y) in best.items() if s >= 90}
+    assert ("kelloggs", "kellogg") in {x[:2] for x in got}
+
+
+def test_alias_join_is_of_unshared_brands(spark, tmp_path):
+    spark.read.parquet(f"{SF}/part.parquet").withColumns({"p_brand": F.expr("if(p_partkey div 2 % 2 = 0, 'acme foods', 'acme food')"), "p_type": F.lit("SMALL")}).write.parquet(f"{tmp_path}/part.parquet")
+    assert catalog_queries.queries()["alias_fuzzy_join"](spark, str(tmp_path)).count() == 0
+    brands = {s: {r[0] for r in catalog.parts(spark, SF).where(F.col("store_id") == s).select(F.concat_ws(" ", "brand_norm", "category_norm")).collect()} for s in "AB"}
+    got = {(r.b_brand, r.score) for r in catalog_queries.queries()["alias_fuzzy_join"](spark, SF).collect()}
+    best = {x: max(round(fuzzy.token_set_ratio(x, y), 6) for y in brands["A"]) for x in brands["B"] - brands["A"]}
+    assert got == {(x, s) for x, s in best.items() if s >= 90}
+
+
 @given(st.text("abc", max_size=10), st.text("abc", max_size=10))
 def test_common_subsequence(a, b):
     t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
