@@ -1,13 +1,16 @@
 """Masked pseudo-likelihood scores from a bidirectional window network in numpy.
 
-A word is one of 2^16 hashed tokens. Tokens are sorted by their counts in the whole corpus and cut into CLASSES of about
-equal mass, so that a frequent word has a class of its own. A network with one hidden layer predicts each word's class from
-the classes of the WINDOW words on either side, the word itself left out; within a class a token has its share of the
-corpus counts. A document's score is the sum of log p(class | both sides) + log p(token | class) over its words.
-
-Three scans: counts, training, scores. Each partition trains from the same start on all its words, and the network is the
-mean of theirs, weighted by words (ROUNDS times). Counts and parameters are added up by the executors, in whole numbers, so
-the order doesn't matter; the driver gets 2^16 counts and about 8,000 parameters whatever the corpus holds.
+A word is a 64-bit hash of its letters in lower case. Words are counted in the whole corpus, in a table that grows with it, and
+cut by their counts into CLASSES of about equal mass, so that a frequent word has a class of its own. A network with one hidden
+layer predicts each word's class from the classes of the WINDOW words on either side, the word itself left out; within a class
+a word has its share of the corpus counts. A document's score is the sum of log p(class | both sides) + log p(word | class)
+over its words. Words that a given model's corpus lacks share the place of one word that occurs half a time.
+
+Texts are read once, into blocks: a block has many documents, its distinct words and each word's place among them. The blocks'
+words meet the table of words in a join, so no task and not the driver holds the vocabulary; classes are told by cells of
+counts, a number of them that is bounded whatever the corpus holds. Each partition trains from the same start on all its words,
+and the network is the mean of theirs, weighted by words (ROUNDS times), added up by the executors in whole numbers, so the
+order doesn't matter. The driver gets at most 2^16 cells and about 8,000 parameters.
 
 Null and empty texts have no words, score 0 and no mean. Rows are scored on their own; repeated rows score alike and count
 as often as they stand.
@@ -19,30 +22,84 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._kernel import Words
-from ._shared import small_batches, texts
+from ._shared import materialize, small_batches, texts
 
-TOKENS, CLASSES, HIDDEN, WINDOW, BATCH, RATE, ROUNDS = 1 << 16, 64, 24, 2, 4096, 0.02, 1
+CLASSES, HIDDEN, WINDOW, BATCH, RATE, ROUNDS = 64, 24, 2, 4096, 0.02, 1
 FIXED = 1 << 20  # parameters travel as whole numbers of 1/FIXED
+BLOCK = 1 << 20  # words a block, more only where one batch has more
+EXACT, STEPS, SLICES = 64, 16, 64  # counts below EXACT have a level each, others STEPS an octave; a level's words are cut by hash
 
 
-class Vocabulary:
-    """Classes of tokens and log p(token | class), from counts."""
+def cell(words: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The cell of each word with its count: below 2^16."""
+    level = np.where(n < EXACT, n, EXACT + np.floor(STEPS * np.log2(np.maximum(n, EXACT) / EXACT))).astype(np.int64)
+    return level * SLICES + (words.view(np.uint64) % np.uint64(SLICES)).astype(np.int64)
+
 
-    def __init__(self, counts: np.ndarray, classes: int = CLASSES):
-        mass = counts + 0.5
-        order = np.argsort(-mass, kind="stable")
+class Cells:
+    """Classes of cells, from each cell's number of words and sum of counts. Cell 0 is that of a word not seen."""
+
+    def __init__(self, at: np.ndarray, words: np.ndarray, counts: np.ndarray, classes: int = CLASSES):
+        at = np.append(at, 0)
+        mass = np.append(counts + 0.5 * words, 0.5)
+        order = np.lexsort((at % SLICES, -(at // SLICES)))
         middle = np.cumsum(mass[order]) - mass[order] / 2
         rank = np.minimum((middle / mass.sum() * classes).astype(np.int64), classes - 1)
         rank = np.unique(rank, return_inverse=True)[1]  # without gaps
-        self.of = np.empty(len(counts), np.int64)
-        self.of[order] = rank
+        self.of = np.zeros(1 << 16, np.uint8)
+        self.of[at[order]] = rank
         self.classes = int(rank.max()) + 1
-        total = np.bincount(self.of, weights=mass, minlength=self.classes)
-        self.log_share = np.log(mass / total[self.of])
+        self.total = np.bincount(self.of[at], weights=mass, minlength=self.classes)
+        self.unseen = int(self.of[0]), float(np.log(0.5 / self.total[self.of[0]]))
+
+    def __call__(self, words: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class and log p(word | class)."""
+        own = self.of[cell(words, n)]
+        return own, np.log((n + 0.5) / self.total[own])
+
+
+class Vocabulary:
+    """Table (word, cls, log_share) of all words. of and log_share look up some words' values for the driver."""
+
+    def __init__(self, counts: DataFrame):
+        def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words, total = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+            for b in batches:
+                n = b.column(1).to_numpy()
+                at = cell(b.column(0).to_numpy(), n)
+                words += np.bincount(at, minlength=1 << 16)
+                np.add.at(total, at, n)
+            seen = np.flatnonzero(words)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (seen, words[seen], total[seen])], ["cell", "words", "n"])
+
+        rows = counts.mapInArrow(fill, "cell long, words long, n long").groupBy("cell").agg(F.sum("words").alias("words"), F.sum("n").alias("n")).collect()
+        cells = Cells(*(np.array([r[i] for r in rows], np.int64) for i in range(3)))
+
+        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                own, share = cells(b.column(0).to_numpy(), b.column(1).to_numpy())
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.int32()), pa.array(share, pa.float64())], ["word", "cls", "log_share"])
+
+        self.table = materialize(counts.mapInArrow(mark, "word long, cls int, log_share double"))
+        self.classes, self.unseen = cells.classes, cells.unseen
+        self.of, self.log_share = Lookup(self, 0), Lookup(self, 1)
+
+
+class Lookup:
+    def __init__(self, vocabulary: Vocabulary, which: int):
+        self.vocabulary, self.which = vocabulary, which
+
+    def __getitem__(self, words: np.ndarray) -> np.ndarray:
+        each, at = np.unique(words, return_inverse=True)
+        table, name = self.vocabulary.table, ("cls", "log_share")[self.which]
+        asked = table.sparkSession.createDataFrame([(x,) for x in each.tolist()], "word long")
+        found = {r.word: r[name] for r in table.join(F.broadcast(asked), "word").collect()}
+        return np.array([found.get(x, self.vocabulary.unseen[self.which]) for x in each.tolist()])[at]
 
 
 class Network:
@@ -53,7 +110,7 @@ class Network:
         sizes = [int(np.prod(s)) for s in self.shapes]
         if params is None:
             params = np.random.default_rng(5).normal(0, 0.3, sum(sizes))
-            params[sum(sizes[:3]) :] = 0
+            params[sum(sizes[:2]) :] = 0  # starts at equal classes, which few words of training can't fall below by chance
         self.params = params.astype(np.float32)
         self.classes, self.cuts = classes, np.cumsum(sizes)[:-1]
         self.square = np.zeros_like(self.params)
@@ -102,96 +159,147 @@ class Network:
 
 
 class Reader:
-    """Tokens of many texts in one array, WINDOW edges between them."""
+    """Words of many texts in one array, WINDOW edges between them."""
 
     def __init__(self):
         self.words = Words()
 
     def tokens(self, text: str) -> np.ndarray:
-        return (self.words(text.encode())[2] >> np.uint64(48)).astype(np.int64)
+        return self.words(text.encode())[2].view(np.int64)
 
     @staticmethod
-    def lay(found: list[np.ndarray], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    def line(found: list[np.ndarray], classes: int) -> tuple[np.ndarray, np.ndarray]:
         """Classes with edges, and where the words stand in them."""
-        edge = np.full(WINDOW, vocabulary.classes, np.int64)
-        line = np.concatenate([edge, *(x for t in found for x in (vocabulary.of[t], edge))])
-        return line, np.flatnonzero(line < vocabulary.classes)
+        edge = np.full(WINDOW, classes, np.int64)
+        line = np.concatenate([edge, *(x for t in found for x in (t, edge))])
+        return line, np.flatnonzero(line < classes)
+
+    @classmethod
+    def lay(cls, found: list[np.ndarray], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+        """line() of the classes of tokens."""
+        return cls.line([vocabulary.of[t] for t in found], vocabulary.classes)
 
     @staticmethod
     def around(line: np.ndarray, at: np.ndarray) -> np.ndarray:
         return np.stack([line[at + d] for d in range(-WINDOW, WINDOW + 1) if d])
 
 
-def count_tokens(rows: DataFrame) -> np.ndarray:
-    """Counts of all tokens in all texts."""
+def blocks(rows: DataFrame) -> DataFrame:
+    """(block, ids, sizes, places, words, counts) from rows (id, text): distinct words, and each word's place among them."""
+    kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, total = Reader(), np.zeros(TOKENS, np.int64)
+        reader, number, ids, found, n = Reader(), TaskContext.get().partitionId() << 32, [], [], 0
+
+        def block() -> pa.RecordBatch:
+            words, place, counts = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+            sizes = pa.array([[len(t) for t in found]], pa.list_(pa.int32()))
+            lists = [pa.array([x], pa.list_(pa.int64())) for x in (words, counts)]
+            own = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), pa.concat_arrays(ids))
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), own, sizes, pa.array([place.astype("<u4").tobytes()], pa.binary()), *lists], ["block", "ids", "sizes", "places", "words", "counts"])
+
         for b in small_batches(batches):
-            found = [reader.tokens(t) for t in texts(b, "text")]
-            total += np.bincount(np.concatenate(found), minlength=TOKENS)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], ["token", "n"])
+            new = [reader.tokens(t) for t in texts(b, "text")]
+            ids.append(b.column(0))
+            found += new
+            n += sum(map(len, new))
+            if n >= BLOCK:
+                yield block()
+                number, ids, found, n = number + 1, [], [], 0
+        if found:
+            yield block()
 
-    counts = np.zeros(TOKENS, np.int64)
-    for r in rows.select("text").mapInArrow(run, "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).collect():
-        counts[r.token] = r.n
-    return counts
+    return rows.mapInArrow(run, f"block long, ids array<{kind}>, sizes array<int>, places binary, words array<long>, counts array<long>")
 
 
-def fit(rows: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, Network]:
-    """Vocabulary and network from all rows' texts."""
-    spark = rows.sparkSession
-    vocabulary = Vocabulary(count_tokens(rows))
-    network = Network(vocabulary.classes)
+def vocabulary_of(held: DataFrame) -> Vocabulary:
+    """From all blocks' words."""
+    each = held.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select("w.words", "w.counts")
+    return Vocabulary(materialize(each.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("n"))))
+
+
+def classed(held: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(ids, sizes, classes, shares): a byte for each word of a block's documents, and the sum of log p(word | class) of each document."""
+    each = held.select("block", F.posexplode("words").alias("i", "word")).join(vocabulary.table, "word", "left")
+    known = each.groupBy("block").agg(*[F.collect_list(F.coalesce(F.col(c), F.lit(x))).alias(c) for c, x in (("i", 0), ("cls", vocabulary.unseen[0]), ("log_share", vocabulary.unseen[1]))])
+    both = held.select("block", "ids", "sizes", "places").join(known, "block", "left").select("ids", "sizes", "places", "i", "cls", "log_share", "block")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in (batch.slice(x, 1) for x in range(batch.num_rows)):
+                sizes, i, own, share = (b.column(x).flatten().to_numpy() for x in (1, 3, 4, 5))
+                place = np.frombuffer(b.column(2)[0].as_py(), "<u4")
+                by = np.argsort(i)
+                total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=share[by][place], minlength=len(sizes))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([own[by][place].astype(np.uint8).tobytes()], pa.binary()), pa.array([total], pa.list_(pa.float64()))], ["ids", "sizes", "classes", "shares"])
+
+    kind = held.schema["ids"].dataType.simpleString()
+    return materialize(both.sortWithinPartitions("block").mapInArrow(run, f"ids {kind}, sizes array<int>, classes binary, shares array<double>"))
+
+
+def documents(batches: Iterator[pa.RecordBatch], classes: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of classed() one by one: the row, sizes, line and where the words stand in it."""
+    for batch in batches:
+        for b in (batch.slice(x, 1) for x in range(batch.num_rows)):
+            sizes, own = b.column(1).flatten().to_numpy(), np.frombuffer(b.column(2)[0].as_py(), np.uint8)
+            yield b, sizes, *Reader.line(np.split(own.astype(np.int64), np.cumsum(sizes)[:-1]), classes)
+
+
+def train(laid: DataFrame, classes: int, rounds: int = ROUNDS) -> Network:
+    """Network from all blocks of classed()."""
+    spark, network = laid.sparkSession, Network(classes)
     for _ in range(rounds):
-        sent = spark.sparkContext.broadcast((vocabulary, network.params))
+        sent = spark.sparkContext.broadcast(network.params)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            vocabulary, start = sent.value
-            own, reader, n = Network(vocabulary.classes, start), Reader(), 0
-            for b in small_batches(batches):
-                line, at = reader.lay([reader.tokens(t) for t in texts(b, "text")], vocabulary)
-                for i in range(0, len(at), BATCH):
-                    part = at[i : i + BATCH]
-                    own.train(reader.around(line, part), line[part])
+            own, n = Network(classes, sent.value), 0
+            for _, _, line, at in documents(batches, classes):
+                steps = -(-len(at) // BATCH)
+                for i in range(steps):
+                    part = at[i::steps]  # from all of the block's documents
+                    own.train(Reader.around(line, part), line[part])
                 n += len(at)
             if n:
                 fixed = np.rint(own.params.astype(np.float64) * FIXED).astype(np.int64) * n
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(fixed)), pa.int32()), pa.array([str(x) for x in fixed.tolist()], pa.string()), pa.array(np.full(len(fixed), n), pa.int64())], ["place", "value", "n"])
 
-        sums = rows.select("text").mapInArrow(run, "place int, value string, n long").groupBy("place").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value"), F.sum("n").alias("n"))
+        sums = laid.mapInArrow(run, "place int, value string, n long").groupBy("place").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value"), F.sum("n").alias("n"))
         got = sums.collect()
         if got:
             mean = np.zeros(len(network.params))
             for r in got:
                 mean[r.place] = int(r.value) / r.n / FIXED
-            network = Network(vocabulary.classes, mean)
-    return vocabulary, network
+            network = Network(classes, mean)
+    return network
+
+
+def fit(rows: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, Network]:
+    """Vocabulary and network from all rows' texts."""
+    held = materialize(blocks(rows.select(F.lit(0).alias("id"), "text")))
+    vocabulary = vocabulary_of(held)
+    return vocabulary, train(classed(held, vocabulary), vocabulary.classes, rounds)
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: tuple[Vocabulary, Network] | None = None) -> DataFrame:
     """(id_col, n_tokens, log_prob, mean_log_prob) of each row, by a model fitted to docs unless one is given."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    vocabulary, network = model or fit(rows)
-    sent = spark.sparkContext.broadcast((vocabulary, network.params))
+    held = materialize(blocks(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))))
+    vocabulary = model[0] if model else vocabulary_of(held)
+    laid = classed(held, vocabulary)
+    network = model[1] if model else train(laid, vocabulary.classes)
+    sent, classes = spark.sparkContext.broadcast(network.params), vocabulary.classes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, params = sent.value
-        own, reader = Network(vocabulary.classes, params), Reader()
-        for b in small_batches(batches):
-            found = [reader.tokens(t) for t in texts(b, "text")]
-            line, at = reader.lay(found, vocabulary)
-            sizes = np.array([len(t) for t in found])
+        own = Network(classes, sent.value)
+        for b, sizes, line, at in documents(batches, classes):
             each = np.zeros(len(at))
             for i in range(0, len(at), BATCH):
                 part = at[i : i + BATCH]
-                each[i : i + BATCH] = own.log_probs(reader.around(line, part), line[part])
-            each += vocabulary.log_share[np.concatenate(found)]
-            total = np.bincount(np.repeat(np.arange(len(found)), sizes), weights=each, minlength=len(found)).round(4)
+                each[i : i + BATCH] = own.log_probs(Reader.around(line, part), line[part])
+            total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=each, minlength=len(sizes))
+            total = (total + b.column(3).flatten().to_numpy()).round(4)
             mean = [round(t / n, 6) if n else None for t, n in zip(total.tolist(), sizes.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(total, pa.float64()), pa.array(mean, pa.float64())], ["id", "n_tokens", "log_prob", "mean_log_prob"])
+            yield pa.RecordBatch.from_arrays([b.column(0).flatten(), pa.array(sizes, pa.int64()), pa.array(total, pa.float64()), pa.array(mean, pa.float64())], ["id", "n_tokens", "log_prob", "mean_log_prob"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, n_tokens long, log_prob double, mean_log_prob double").withColumnRenamed("id", id_col)
+    return laid.mapInArrow(run, f"id {kind}, n_tokens long, log_prob double, mean_log_prob double").withColumnRenamed("id", id_col)

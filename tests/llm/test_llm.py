@@ -407,6 +407,22 @@ def test_scores(docs, edge, empty):
     assert lm.scores(empty).count() == 0
 
 
+def test_every_word_has_its_own_count(spark):
+    r = np.random.default_rng(2)
+    given = [(i, " ".join(f"v{x}" for x in r.integers(0, 50_000 if i % 2 else 30, 60))) for i in range(3000)]
+    n = Counter(w for _, t in given for w in t.split())
+    vocabulary, _ = lm.fit(frame(spark, given))
+    reader = lm.Reader()
+    assert vocabulary.table.count() == len(n)
+    some = sorted(n, key=lambda w: (-n[w], w))[::40]
+    token = np.concatenate([reader.tokens(w) for w in some])
+    total = defaultdict(set)
+    for w, c, x in zip(some, vocabulary.of[token].tolist(), vocabulary.log_share[token].tolist(), strict=True):
+        total[c].add(round(float(np.log(n[w] + 0.5) - x), 6))
+    assert all(len(x) == 1 for x in total.values())  # each word's share is its own count's
+    assert sum(np.exp(r.log_share) for r in vocabulary.table.collect()) + np.exp(vocabulary.unseen[1]) == pytest.approx(vocabulary.classes)
+
+
 # ---- 10 ----
 
 
