@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions import flags, fuzzy, size, text
 from ..operators import analysis, catalog, knowledge, matching, similarity
+from ..sources import tables
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -417,13 +420,29 @@ def judge_offline(spark, sf_dir):
     return knowledge.judge(matching.features(blocked(spark, sf_dir))).drop("raw_response")
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """df written to spark.checkpoint.dir, or a temporary folder where it is unset, and read again."""
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='matchspark-')}"
+    return tables.stage(df, f"{folder.rstrip('/')}/matchspark-{uuid.uuid4().hex}")
+
+
+def candidates(spark, sf_dir):
+    """candidate_union's pairs (its SQL holds blocks and bridge only) and the TF-IDF join's, with their cosines."""
+    a, b = catalog.sides(spark, sf_dir, *SIDE)
+    a, b = (d.select(F.col(f"item_id_{s}").alias("id"), F.trim(F.concat_ws(" ", f"name_norm_{s}", f"brand_norm_{s}", f"category_norm_{s}")).alias("text")) for d, s in ((a, "a"), (b, "b")))
+    found = similarity.sparse_topk(a, b).select(F.col("id_a").alias("item_id_a"), F.col("id_b").alias("item_id_b"), F.lit("T3").alias("source"), (100 * F.col("score")).alias("score"), F.col("score").alias("cosine"))
+    one = strict_block_pairs(spark, sf_dir).withColumns({"source": F.lit("T1"), "score": F.lit(90.0)})
+    two = private_label_pairs(spark, sf_dir).withColumns({"source": F.lit("T5"), "score": F.lit(60.0)})
+    return matching.union_candidates(found, one, two)
+
+
 @query()
 def match_catalogs(spark, sf_dir):
-    """Both candidate sources, fuzzy scores, routes, the offline judge for what is in doubt, and one partner a record."""
+    """All candidate sources, fuzzy scores, routes, the offline judge for what is in doubt, and one partner a record."""
     a, b = catalog.sides(spark, sf_dir, *SIDE)
-    pairs = candidate_union(spark, sf_dir).join(a, "item_id_a").join(b, "item_id_b").withColumn("cosine", F.lit(None).cast("double"))
+    pairs = staged(candidates(spark, sf_dir)).join(a, "item_id_a").join(b, "item_id_b")  # else each use below plans all sources anew
     pairs = matching.with_ratio(pairs, "name_norm_a", "name_norm_b", "ratio")
-    scored = matching.features(pairs, F.col("ratio")).select("item_id_a", "item_id_b", "source", "score", "final_score", "route")
+    scored = staged(matching.features(pairs, F.col("ratio")).select("item_id_a", "item_id_b", "source", "score", "final_score", "route"))
     auto = scored.where("route = 'auto_accept'").withColumn("confidence", F.lit(None).cast("double"))
     judged = knowledge.judge(scored.where("route = 'llm'")).where("is_match AND confidence >= 0.85").select("item_id_a", "item_id_b", "confidence")
     return matching.select_one(auto.unionByName(scored.join(judged, ["item_id_a", "item_id_b"]))).select("item_id_a", "item_id_b", "source", "final_score", "confidence")

@@ -51,6 +51,14 @@ def test_match_catalogs_gives_one_partner(spark):
     assert rows and len({r.item_id_a for r in rows}) == len(rows)
 
 
+def test_candidates_have_the_text_join_with_cosines(spark):
+    c = {(r.item_id_a, r.item_id_b): r for r in catalog_queries.candidates(spark, SF).collect()}
+    blocks = {(r.item_id_a, r.item_id_b) for r in catalog_queries.candidate_union(spark, SF).collect()}
+    assert blocks < set(c)
+    assert all(("T3" in r.source) == (r.cosine is not None) for r in c.values())
+    assert any(r.source == "T3" and r.cosine >= 0.4 for r in c.values())
+
+
 @pytest.mark.parametrize(("given_", "dim", "unit", "total", "packs"), [("12 fl oz", "volume", 12, 12, 1), ("12 x 12 fl oz", "volume", 12, 144, 12), ("4 pk 8.5 oz", "weight", 8.5, 34, 4), ("50 ct", "count", 50, 50, 50), (".5 L", "volume", 16.907, 16.907, 1), ("4 pk 3 lb", "weight", 48, 192, 4)])
 def test_sizes(spark, given_, dim, unit, total, packs):
     s = spark.createDataFrame([(given_,)], "t string").select(size.parse_size(F.col("t")).alias("s")).first().s
