@@ -7,7 +7,7 @@ paragraphs give equal fingerprints, and inserting or deleting a paragraph is add
 Two kinds of lanes make up a vector:
 
 * 16 lanes modulo 2^64, uniform in the paragraph's bytes (SHAKE-256). Fingerprints are equal where all lanes are.
-* 256 lanes modulo 2^16 that count the paragraph's three-word shingles with signs (a count sketch). Read as signed
+* 256 lanes modulo 2^32 that count the paragraph's three-word shingles with signs (a count sketch). Read as signed
   numbers, their cosine estimates how many shingles two texts share; its standard error is about 1/16.
 
 Null and empty texts hold one empty paragraph. Rows that share a doc_id are separate documents, ordered by
@@ -32,7 +32,7 @@ EXACT, SKETCH, SHINGLE = 16, 256, 3
 
 
 class Fingerprint:
-    """Adds up paragraphs. A fingerprint is a pair of arrays: uint64 exact lanes, uint16 sketch lanes."""
+    """Adds up paragraphs. A fingerprint is a pair of arrays: uint64 exact lanes, uint32 sketch lanes."""
 
     def __init__(self):
         self.words = Words(lower=False)
@@ -48,7 +48,7 @@ class Fingerprint:
                 exact += np.frombuffer(hashlib.shake_256(p).digest(8 * EXACT), "<u8")
         start, _, h = self.words(data)
         if not len(h):
-            return exact, np.zeros(SKETCH, np.uint16)
+            return exact, np.zeros(SKETCH, np.uint32)
         breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
         paragraph = np.searchsorted(breaks, start)
         k = SHINGLE
@@ -60,7 +60,7 @@ class Fingerprint:
             two = h[short] + np.where(size[np.searchsorted(first, short)] == 2, h[np.minimum(short + 1, len(h) - 1)] * np.uint64(3), np.uint64(0))
             item = np.concatenate((item, two))
         counts = np.bincount((item >> np.uint64(40)).astype(np.int64) & (2 * SKETCH - 1), minlength=2 * SKETCH)
-        return exact, (counts[:SKETCH] - counts[SKETCH:]).astype(np.uint16)
+        return exact, (counts[:SKETCH] - counts[SKETCH:]).astype(np.uint32)
 
     def edit(self, fingerprint, old: str, new: str):
         """The fingerprint after the paragraphs of old went and those of new came."""
@@ -69,14 +69,14 @@ class Fingerprint:
 
 
 def as_text(fingerprint) -> str:
-    return base64.b64encode(fingerprint[0].astype("<u8").tobytes() + fingerprint[1].astype("<u2").tobytes()).decode()
+    return base64.b64encode(fingerprint[0].astype("<u8").tobytes() + fingerprint[1].astype("<u4").tobytes()).decode()
 
 
 def likeness(a, b) -> float:
     """1 for equal fingerprints, else the cosine of their sketches, 0 at least."""
     if (a[0] == b[0]).all() and (a[1] == b[1]).all():
         return 1.0
-    x, y = a[1].view(np.int16).astype(np.float64), b[1].view(np.int16).astype(np.float64)
+    x, y = a[1].view(np.int32).astype(np.float64), b[1].view(np.int32).astype(np.float64)
     size = np.sqrt((x @ x) * (y @ y))
     return float(min(1.0, max(0.0, round(x @ y / size, 6)))) if size else 0.0
 

@@ -90,6 +90,14 @@ def test_fingerprint_ignores_order_and_takes_edits(parts, r, more):
         assert fingerprint.as_text(added) == fingerprint.as_text((a[0] + own.of(more)[0], a[1] + own.of(more)[1]))
 
 
+def test_lanes_hold_many_repeats():
+    own = fingerprint.Fingerprint()
+    text = "red green blue\n" * 65536
+    a, b = own.of(text), own.of(text + "x y z")
+    assert a[1].any()
+    assert fingerprint.likeness(a, b) > 0.99
+
+
 @pytest.mark.parametrize("which", ["docs", "edge"])
 def test_neighbours(request, which):
     df = request.getfixturevalue(which)
