@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from ._shared import small_batches
+from ._shared import free, small_batches
 
 SAMPLE, SPARE, DICTIONARY, PIECE, SHORTEST, MARGIN = 256, 4, 1 << 17, 1 << 12, 3, 0.01
 #: Per byte: A-Z in lower case; all else of ASCII that is no letter becomes a space.
@@ -82,12 +82,14 @@ class Classifier:
         return self.langs[best], (min(rest) - sizes[best]) / min(rest) if rest else 1.0
 
 
+def rejected(lang: str, score: float, margin: float) -> bool:
+    return lang == "und" or score < margin
+
+
 def predict(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", margin: float = MARGIN) -> DataFrame:
-    """docs with lang_pred, score and lang_rejected added (in place of columns of those names); no shuffle."""
-    spark = docs.sparkSession
-    own = ["lang_pred", "score", "lang_rejected"]
-    docs = docs.drop(*own)
-    sent = spark.sparkContext.broadcast(dictionaries)  # languages times DICTIONARY bytes
+    """docs with lang_pred, score and lang_rejected added; no shuffle. Columns of docs stay: where it has one of these names, the added one gets an underscore after it."""
+    own = [free(x, docs.columns) for x in ("lang_pred", "score", "lang_rejected")]
+    sent = docs.sparkSession.sparkContext.broadcast(dictionaries)  # languages times DICTIONARY bytes
     names = [*docs.columns, *own]
     at = docs.columns.index(text_col)
 
@@ -96,8 +98,21 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "te
         for b in small_batches(batches):
             found = [classify(t) for t in b.column(at).to_pylist()]
             kinds = (pa.string(), pa.float64(), pa.bool_())
-            cols = zip(*((x, round(s, 6), x == "und" or s < margin) for x, s in found), strict=True) if found else ([], [], [])
+            cols = zip(*((x, round(s, 6), rejected(x, s, margin)) for x, s in found), strict=True) if found else ([], [], [])
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names)
 
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(own, (T.StringType(), T.DoubleType(), T.BooleanType()), strict=True))])
     return docs.mapInArrow(run, schema)
+
+
+def keep_sure(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", margin: float = MARGIN) -> DataFrame:
+    """The rows of docs that predict() doesn't reject, with docs's columns as they are; no shuffle."""
+    sent = docs.sparkSession.sparkContext.broadcast(dictionaries)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classify = Classifier(sent.value)
+        for b in small_batches(batches):
+            yield b.filter(pa.array([not rejected(*classify(t), margin) for t in b.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

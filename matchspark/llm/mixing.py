@@ -1,70 +1,93 @@
 """Mixing sources to target weights by systematic sampling.
 
 Every document of a source has the same expected copies: the source's target over its size. Their prefix sums, shifted
-by one random offset a source, cross integers; a document is emitted once for each integer that it crosses. Within a
-source documents stand by size, so each run of likely sizes gives its share and the words taken come near the target.
+by one random offset a source, cross integers; a document is emitted once for each integer that it crosses.
 
-A large source's order is (salt, size, id), with one hexadecimal digit of the id's MD5 as salt for each factor of 16 that
-the source has above SORTED rows. Each (source, salt) is ranked on its own and the ranks are shifted by the counts of the
-salts before: no task sorts a whole source, and reruns agree.
+A source's documents stand by size level, then by the hash of their id and text, then by size, id and text. A level is a
+sixteenth of an octave, so each run of likely sizes gives its share and the words taken come near the target. The order is
+the same at every number of rows, and it is one of cells (source, level, 3 hexadecimal digits of the hash): each cell is
+ranked on its own, and its ranks are shifted by the counts of the cells before. No task sorts a source, and reruns agree.
 
-Null texts have size 0. Null sources are one source. Empty documents are sampled like others and take no words.
-Rows of one id and size are alike, whichever of them is taken.
+Null texts have size 0. Null sources are one source. Empty documents are sampled like others and take no words. Null ids
+are one id. Rows that share an id are sampled on their own; those that share the text too are told apart by their other
+columns, and equal rows are alike, whichever of them is taken. A table without rows gives none.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ._shared import WORD, materialize
+from ._shared import WORD, before, free, materialize
 
-WEIGHTS, SHARE, MOST, SORTED, SEED = (3, 1, 2), 1.5, 2, 65536, "mix"
+WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), 1.5, 2, "mix"
+CELL = ["_source", "_level", "_salt"]
 
 
-def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """(source, source_size, n, target) from rows (source, size). One row a source is all that its windows see.
+def words_in(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def level(size: Column) -> Column:
+    """Rises with size: the number of its binary digits, then the first five of them."""
+    return F.concat(F.lpad(F.length(F.bin(size)).cast("string"), 2, "0"), F.substring(F.bin(size), 1, 5))
+
+
+def targets(by: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """(source, source_size, target) from one row (source, source_size) a source.
 
     weights repeat over the sources by code point, null last. Water-filling: a source stops at most * its size, and the
     others share what is left by weight. In ascending order of cap over weight, a source is capped where the level that
     the rest would get without it is above its own.
     """
-    by = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    place = F.row_number().over(W.orderBy(F.asc_nulls_last("source"))) - 1
-    by = by.withColumn("weight", F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (place % len(weights) + 1).cast("int")))
-    by = by.withColumns({"cap": F.col("source_size") * float(most), "whole": F.sum("source_size").over(W.partitionBy()) * float(share)})
-    order = W.orderBy(F.col("cap") / F.col("weight"), F.asc_nulls_last("source"))
-    before = order.rowsBetween(W.unboundedPreceding, -1)
-    by = by.withColumns({"left": F.col("whole") - F.coalesce(F.sum("cap").over(before), F.lit(0.0)), "open": F.sum("weight").over(order.rowsBetween(0, W.unboundedFollowing))})
-    by = by.withColumn("capped", F.col("cap") * F.col("open") <= F.col("weight") * F.col("left"))
-    free = W.partitionBy()
-    by = by.withColumn("rest", F.max(F.when(~F.col("capped"), F.col("open"))).over(free)).withColumn("share", F.max(F.when(~F.col("capped") & (F.col("open") == F.col("rest")), F.col("left"))).over(free))
-    return by.select("source", "source_size", "n", F.when(F.col("capped"), F.col("cap")).otherwise(F.col("share") * F.col("weight") / F.col("rest")).alias("target"))
+    by = before(by, [F.asc_nulls_last("source")], {"place": F.lit(1)})
+    by = by.withColumn("weight", F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("place") % len(weights) + 1).cast("int")))
+    by = by.withColumn("cap", F.col("source_size") * float(most))
+    whole = by.agg((F.sum("source_size") * float(share)).alias("whole"), F.sum("weight").alias("every"))
+    by = before(by, [F.asc(F.col("cap") / F.col("weight")), F.asc_nulls_last("source")], {"filled": F.col("cap"), "passed": F.col("weight")})
+    by = by.join(F.broadcast(whole)).withColumns({"left": F.col("whole") - F.col("filled"), "open": F.col("every") - F.col("passed")})  # one row
+    by = materialize(by.withColumn("capped", F.col("cap") * F.col("open") <= F.col("weight") * F.col("left")))
+    rest = by.where("NOT capped").agg(F.max(F.struct("open", "left")).alias("rest"))
+    return by.join(F.broadcast(rest)).select("source", "source_size", F.when(F.col("capped"), F.col("cap")).otherwise(F.col("rest.left") * F.col("weight") / F.col("rest.open")).alias("target"))
+
+
+def placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights, share: float, most: int, seed: str, keep: list[str], tie: list[Column], narrow: bool) -> DataFrame:
+    """Columns keep of each row, and _source, _size, _source_size, _target and _copies."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    id_ = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    same = F.md5(text)
+    rows = docs.withColumns({"_source": F.col(source_col).cast("string"), "_size": words_in(F.col(text_col)), "_same": same})
+    rows = rows.withColumns({"_level": level(F.col("_size")), "_salt": F.substring(F.md5(F.concat_ws(":", id_, "_same")), 1, 3), "_id": id_, "_tie": F.xxhash64(*tie) if tie else F.lit(0)})
+    rows = rows.select(*keep, *CELL, "_size", "_id", "_same", "_tie")
+    if narrow:  # the texts are read once
+        rows = materialize(rows)
+    cells = materialize(rows.groupBy(*CELL).agg(F.count("*").alias("n"), F.sum("_size").alias("size")))
+    by = targets(cells.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size")), weights, share, most)
+    earlier = F.coalesce(F.sum("n").over(W.partitionBy("_source").orderBy("_level", "_salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce("source", F.lit("")))), 1, 4), 16, 10).cast("double") / 65536
+    told = by.select("source", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)).alias("_rate"), offset.alias("_offset"))
+    told = cells.withColumn("_earlier", earlier).join(told, F.col("_source").eqNullSafe(F.col("source"))).select(F.col("_source").alias("_s"), F.col("_level").alias("_l"), F.col("_salt").alias("_h"), "_earlier", "_source_size", "_target", "_rate", "_offset")
+    told = materialize(told)
+    ranked = rows.withColumn("_rank", F.row_number().over(W.partitionBy(*CELL).orderBy("_size", "_id", "_same", "_tie")))
+    ranked = ranked.join(told, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_level") == F.col("_l")) & (F.col("_salt") == F.col("_h")))
+    until = lambda k: F.floor(F.col("_offset") + F.col("_rate") * k)
+    k = F.col("_earlier") + F.col("_rank")
+    return ranked.withColumn("_copies", F.least(until(k) - until(k - 1), F.ceil("_rate")).cast("long"))
 
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """(id_col, source, size, source_size, target, copies, taken) of each row: copies is how often the mix holds it, taken its words there."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    sizes = materialize(rows)
-    by = materialize(targets(sizes, weights, share, most))
-    digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("n") / SORTED))).cast("int")
-    told = by.select(F.col("source").alias("of"), "source_size", "target", digits.alias("digits"), F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)).alias("rate"))
-    salted = sizes.join(told, F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn("salt", F.substr(F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(1), F.col("digits")))
-    ranked = salted.withColumn("rank", F.row_number().over(W.partitionBy("source", "salt").orderBy("size", "id")))
-    counts = salted.groupBy(F.col("source").alias("of"), F.col("salt").alias("at")).agg(F.count("*").alias("n"))
-    earlier = F.coalesce(F.sum("n").over(W.partitionBy("of").orderBy("at").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    shifted = ranked.join(counts.select("of", "at", earlier.alias("earlier")), F.col("source").eqNullSafe(F.col("of")) & (F.col("salt") == F.col("at")))
-    offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col("source"), F.lit("")))), 1, 4), 16, 10).cast("double") / 65536
-    until = lambda k: F.floor(offset + F.col("rate") * k)
-    k = F.col("earlier") + F.col("rank")
-    copies = F.least(until(k) - until(k - 1), F.ceil("rate")).cast("long")
-    out = shifted.withColumn("copies", copies)
-    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
-
-
-def mix(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """The mix itself: docs's columns and copy (from 1), a row for each copy. Of rows that share an id, each has the copies of the least favoured."""
-    copies = mixture(docs, id_col, **how).where("copies > 0").groupBy(F.col(id_col).alias("_of")).agg(F.min("copies").alias("_copies"))
-    names = docs.columns
-    return docs.join(copies, docs[id_col].eqNullSafe(F.col("_of"))).select(*[docs[c] for c in names], F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("copy" if "copy" not in names else "mix_copy"))
+    """(id_col, source, size, source_size, target, copies, taken) of each row: copies is how often the mix holds it, taken its words there. One scan of the texts; they don't move."""
+    own = docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text"), F.col(source_col).alias("_from"))
+    out = placed(own, "_key", "_text", "_from", weights, share, most, seed, ["_key"], [], True)
+    return out.select(F.col("_key").alias(id_col), F.col("_source").alias(source_col), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_copies").alias("copies"), (F.col("_copies") * F.col("_size")).alias("taken"))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = SEED) -> DataFrame:
+    """The mix itself: docs's columns and copy (from 1; copy_ where docs has a copy), a row for each copy of mixture(). Two scans; rows move once, to their cells."""
+    names, copy = docs.columns, free("copy", docs.columns)
+    held = {c: f"_column{i}" for i, c in enumerate(names)}
+    own = docs.select(*[docs[c].alias(k) for c, k in held.items()])
+    tie = [F.col(held[f.name]) for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and f.name not in (id_col, text_col) and "variant" not in f.dataType.simpleString()]
+    out = placed(own, held[id_col], held[text_col], held[source_col], weights, share, most, seed, list(held.values()), tie, False)
+    return out.where("_copies > 0").select(*[F.col(k).alias(c) for c, k in held.items()], F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias(copy))

@@ -83,9 +83,9 @@ FROM sets s LEFT JOIN least_ l ON s.doc_id = l.doc_id
 
 MIXING_SQL = r"""
 WITH sizes AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+  SELECT doc_id, source, md5(coalesce(text, '')) AS same, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 by_source AS (
-  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n,
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
          [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1] AS weight
   FROM sizes GROUP BY source),
 caps AS (SELECT *, source_size * 2.0::DOUBLE AS cap, CAST(sum(source_size) OVER () AS BIGINT) * 1.5::DOUBLE AS whole FROM by_source),
@@ -95,14 +95,11 @@ levels AS (
   FROM caps),
 capped AS (SELECT *, cap * open_ <= weight * left_ AS full_ FROM levels),
 rest AS (SELECT max_by(left_, open_) AS left_, max(open_) AS open_ FROM capped WHERE NOT full_),
-targets AS (
-  SELECT c.source, c.source_size, c.n, CASE WHEN c.full_ THEN c.cap ELSE r.left_ * c.weight / r.open_ END AS target,
-         greatest(0, ceil(ln(c.n / 65536.0::DOUBLE) / ln(16.0::DOUBLE)))::INT AS digits
-  FROM capped c CROSS JOIN rest r),
+targets AS (SELECT c.source, c.source_size, CASE WHEN c.full_ THEN c.cap ELSE r.left_ * c.weight / r.open_ END AS target FROM capped c CROSS JOIN rest r),
 placed AS (
   SELECT s.doc_id, s.size, t.source_size, t.target, coalesce(t.target / nullif(t.source_size, 0), 0) AS rate,
          ('0x' || substr(md5('mix' || coalesce(s.source, '')), 1, 4))::BIGINT / 65536.0::DOUBLE AS start_,
-         row_number() OVER (PARTITION BY s.source ORDER BY substr(md5(s.doc_id::VARCHAR), 1, t.digits), s.size, s.doc_id) AS k
+         row_number() OVER (PARTITION BY s.source ORDER BY length(bin(s.size)), substr(bin(s.size), 1, 5), substr(md5(concat_ws(':', coalesce(s.doc_id::VARCHAR, ''), s.same)), 1, 3), s.size, s.doc_id::VARCHAR, s.same) AS k
   FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 taken AS (SELECT *, CAST(least(floor(start_ + rate * k) - floor(start_ + rate * (k - 1)), ceil(rate)) AS BIGINT) AS copies FROM placed)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM taken

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -259,13 +260,36 @@ def test_languages(docs, edge, empty):
     tested = [r for r in got if zlib.crc32(str(r.doc_id).encode()) % 4 == 2 and r.n_chars > 100]
     assert sum(r.lang == r.lang_pred for r in tested) >= 0.95 * len(tested)
     out = langid.predict(edge, learned)
-    assert out.columns[-3:] == ["lang_pred", "score", "lang_rejected"]
+    assert out.columns == [*edge.columns, "lang_pred", "score_", "lang_rejected"]
+    assert {r.score for r in out.collect()} == {"x"}
     assert all(r.lang_pred == "und" and r.lang_rejected for r in out.where("doc_id IN (1, 2, 3)").collect())
-    assert langid.predict(empty, learned).count() == 0
+    kept = langid.keep_sure(edge, learned)
+    assert kept.columns == edge.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, out.where("NOT lang_rejected").select(edge.columns).collect()))
+    assert langid.predict(empty, learned).count() == langid.keep_sure(empty, learned).count() == 0
     assert langid.learn(empty) == {}
     assert {r.lang_pred for r in langid.predict(edge, {}).collect()} == {"und"}
 
 
+def test_sizes_are_those_of_plain_compression(docs):
+    """Each text's size under a dictionary, by one-shot zstd calls on fresh compressors; choice and score follow from them."""
+    learned = langid.learn(docs)
+    got = {r.doc_id: r for r in langid.predict(docs, learned).collect()}
+    for i, t in rows(docs)[:40]:
+        data = b" ".join(re.sub(rb"[^a-z\x80-\xff]", b" ", t.lower().encode()).split())
+        sizes = []
+        for lang in sorted(learned):
+            whole = zstandard.ZstdCompressionDict(learned[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            how = zstandard.ZstdCompressionParameters.from_level(3, source_size=langid.PIECE, dict_size=len(learned[lang]), min_match=3, strategy=zstandard.STRATEGY_GREEDY, write_content_size=0, write_checksum=0, write_dict_id=0)
+            sizes.append((sum(len(zstandard.ZstdCompressor(dict_data=whole, compression_params=how).compress(data[at : at + 4096])) for at in range(0, len(data), 4096)), lang))
+        if not any(c.isalpha() for c in t):
+            assert got[i].lang_pred == "und"
+            continue
+        (best, lang), (second, _) = sorted(sizes)[:2]
+        assert (got[i].lang_pred, got[i].score) == (lang, round((second - best) / second, 6))
+        assert got[i].lang_rejected == ((second - best) / second < 0.01)
+
+
 # ---- 5 ----
 
 
@@ -384,14 +408,49 @@ def test_mixture(docs, edge, empty):
     assert mixing.mix(docs).count() == sum(r.copies for r in got)
 
 
-def test_large_sources_are_salted(docs, monkeypatch):
-    monkeypatch.setattr(mixing, "SORTED", 2)
-    got = mixing.mixture(docs).collect()
-    by = defaultdict(float)
+def test_each_source_comes_near_its_target(spark):
+    rnd = np.random.default_rng(5)
+    given = [(i, " ".join(["w"] * int(rnd.integers(0, 40) if i % 5 else rnd.integers(100, 900))), f"s{min(i % 7, i % 3)}") for i in range(1500)]
+    df = spark.createDataFrame(given, "doc_id long, text string, source string")
+    got = mixing.mixture(df).collect()
+    by = defaultdict(list)
     for r in got:
-        by[r.source, r.target / r.source_size] += r.copies
-    n = Counter(r.source for r in got)
-    assert all(abs(copies - rate * n[s]) < 1 + 1e-9 for (s, rate), copies in by.items())
+        by[r.source].append(r)
+    for rows_ in by.values():
+        rate = rows_[0].target / rows_[0].source_size
+        assert abs(sum(r.copies for r in rows_) - rate * len(rows_)) < 1 + 1e-9
+        assert abs(sum(r.taken for r in rows_) / rows_[0].target - 1) < 0.03
+
+
+def brute_targets(sizes):
+    """Fill in small steps of the level: each open source rises by its weight until its cap."""
+    names = sorted(sizes, key=lambda x: (x is None, (x or "").encode()))
+    weight, cap = {n: (3, 1, 2)[i % 3] for i, n in enumerate(names)}, {n: 2.0 * sizes[n] for n in names}
+    left, at = 1.5 * sum(sizes.values()), dict.fromkeys(names, 0.0)
+    while left > 1e-9:
+        rising = [n for n in names if at[n] < cap[n] - 1e-12]
+        step = min(left / sum(weight[n] for n in rising), *((cap[n] - at[n]) / weight[n] for n in rising))
+        for n in rising:
+            at[n] += step * weight[n]
+        left -= step * sum(weight[n] for n in rising)
+    return at
+
+
+def test_targets_fill_up_to_their_caps(spark):
+    for sizes in ({"a": 10, "b": 1000, None: 3, "c": 500, "d": 0}, {"é": 7}, {f"h{i}": i * i % 97 for i in range(50)}):
+        df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        got = {r.source: r.target for r in mixing.targets(df).collect()}
+        assert got == pytest.approx(brute_targets(sizes))
+
+
+def test_mix_emits_rows_as_often_as_mixture_says(spark, docs, empty):
+    twice = docs.union(docs).union(docs.limit(9).withColumn("text", F.lit("one other text"))).withColumn("copy", F.lit("own"))
+    want = mixing.mixture(twice).groupBy("doc_id", "size").agg(F.sum("copies").alias("n")).where("n > 0").collect()
+    out = mixing.mix(twice)
+    assert out.columns == [*twice.columns, "copy_"]
+    got = out.groupBy("doc_id", mixing.words_in(F.col("text")).alias("size")).agg(F.count("*").alias("n")).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, want))
+    assert mixing.mix(empty).count() == 0
 
 
 # ---- 8 ----
