@@ -72,14 +72,16 @@ def apart(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(F.xxhash64(F.lit("apart"), key))
 
 
-def before(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
-    """df with the sum over all rows that stand earlier in the order, for each name. Ranges are sorted apart; one row a range meets in one task."""
+def before(df: DataFrame, order: list[Column], sums: dict[str, Column], few: bool) -> DataFrame:
+    """df with the sum over all rows that stand earlier in the order, for each name. Few rows are summed in one task; else ranges are sorted apart and one row a range meets in one task. The result is the same."""
+    until = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    if few:
+        return df.withColumns({k: F.coalesce(F.sum(v).over(until(W.orderBy(*order))), F.lit(0)) for k, v in sums.items()})
     dealt = materialize(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).withColumns({f"_of_{k}": v for k, v in sums.items()}))
-    inside = W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    earlier = W.orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
     whole = dealt.groupBy(F.col("_range").alias("_at")).agg(*[F.sum(f"_of_{k}").alias(f"_whole_{k}") for k in sums])
-    whole = whole.select("_at", *[F.coalesce(F.sum(f"_whole_{k}").over(earlier), F.lit(0)).alias(f"_before_{k}") for k in sums])
+    whole = whole.select("_at", *[F.coalesce(F.sum(f"_whole_{k}").over(until(W.orderBy("_at"))), F.lit(0)).alias(f"_before_{k}") for k in sums])
     out = dealt.join(F.broadcast(whole), F.col("_range") == F.col("_at"))  # a row a range
+    inside = until(W.partitionBy("_range").orderBy(*order))
     return out.withColumns({k: F.col(f"_before_{k}") + F.coalesce(F.sum(f"_of_{k}").over(inside), F.lit(0)) for k in sums}).select(*df.columns, *sums)
 
 

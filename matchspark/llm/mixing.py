@@ -22,6 +22,7 @@ from pyspark.sql.window import Window as W
 from ._shared import WORD, before, free, materialize
 
 WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), 1.5, 2, "mix"
+FEW = 10_000  # sources whose targets one task may reckon; more are dealt in ranges, with the same result
 CELL = ["_source", "_level", "_salt"]
 
 
@@ -41,13 +42,16 @@ def targets(by: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MO
     others share what is left by weight. In ascending order of cap over weight, a source is capped where the level that
     the rest would get without it is above its own.
     """
-    by = before(by, [F.asc_nulls_last("source")], {"place": F.lit(1)})
+    by = materialize(by)
+    few = by.count() <= FEW
+    by = before(by, [F.asc_nulls_last("source")], {"place": F.lit(1)}, few)
     by = by.withColumn("weight", F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("place") % len(weights) + 1).cast("int")))
     by = by.withColumn("cap", F.col("source_size") * float(most))
-    whole = by.agg((F.sum("source_size") * float(share)).alias("whole"), F.sum("weight").alias("every"))
-    by = before(by, [F.asc(F.col("cap") / F.col("weight")), F.asc_nulls_last("source")], {"filled": F.col("cap"), "passed": F.col("weight")})
-    by = by.join(F.broadcast(whole)).withColumns({"left": F.col("whole") - F.col("filled"), "open": F.col("every") - F.col("passed")})  # one row
-    by = materialize(by.withColumn("capped", F.col("cap") * F.col("open") <= F.col("weight") * F.col("left")))
+    every = by.agg((F.sum("source_size") * float(share)).alias("whole"), F.sum("weight").alias("every"))
+    by = before(by, [F.asc(F.col("cap") / F.col("weight")), F.asc_nulls_last("source")], {"filled": F.col("cap"), "passed": F.col("weight")}, few)
+    by = by.join(F.broadcast(every)).withColumns({"left": F.col("whole") - F.col("filled"), "open": F.col("every") - F.col("passed")})  # one row
+    by = by.withColumn("capped", F.col("cap") * F.col("open") <= F.col("weight") * F.col("left"))
+    by = by if few else materialize(by)
     rest = by.where("NOT capped").agg(F.max(F.struct("open", "left")).alias("rest"))
     return by.join(F.broadcast(rest)).select("source", "source_size", F.when(F.col("capped"), F.col("cap")).otherwise(F.col("rest.left") * F.col("weight") / F.col("rest.open")).alias("target"))
 
