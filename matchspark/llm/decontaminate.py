@@ -12,29 +12,33 @@ Windows miss near copies that fall between the steps or are too altered, so each
 fewest items have, as many as weigh more than 1 - LEAST of the item. What lacks all of an item's seeds can't be similar
 enough; each word of a document is looked up among them, so every passage that is similar enough is found, wherever it stands.
 
-Then an exact comparison decides: the weighted Jaccard similarity of the shingles of five words (multisets; a shingle weighs
-what its words do), of the item and of as many words of the document, from the word where that is highest. At a document's
-edges the words may be fewer.
+Then an exact comparison decides: the highest weighted Jaccard similarity of the shingles of five words (multisets; a shingle
+weighs what its words do) of the item and of any passage of the document, wherever it begins and ends. So words that were
+replaced, inserted or left out cost what their shingles weigh.
 
 Words are runs of letters and digits in lower case (bytes beyond ASCII count as letters). Items of fewer than five words are
 one shingle of as many words, looked up at each word too. Null or empty texts on either side match nothing; repeated items each have their own rows; rows that share a
 doc_id are looked at separately, and their best similarity is told.
 
-The benchmark is split into blocks of at most ITEMS items and BYTES bytes, which go to the executors one after another, so
-what is broadcast doesn't grow with either table.
+The benchmark is split into blocks of at most ITEMS items and about BYTES bytes. Where there are several, they go to the
+executors one after another: each block's finds are written and its index is dropped before the next one is made, so neither
+what is broadcast nor what a worker holds grows with either table. An empty benchmark, or a table without rows, has no finds.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ._kernel import Words, shingles
-from ._shared import texts
+from ._shared import free, materialize, texts
 
 SIZES = [1, 2, 3, 4, 6, *(b << e for e in range(9) for b in (8, 12))]
 STEP, RADIUS, SHINGLE, LEAST, HEAVY = 4, 7, 5, 0.8, 15
@@ -129,37 +133,38 @@ class Index:
                 yield from ((d, i) for i in item[start[x] : start[x + 1]].tolist())
 
     def best(self, h: np.ndarray, w: np.ndarray, item: int) -> tuple[float, int]:
-        """The highest similarity of the item and as many words of one document, and the first word where it is reached."""
+        """The highest similarity of the item and a passage of one document, and the passage's first word; of equal ones the earliest."""
         _, n, own, copies, weight = self.items[item]
         k, whole = min(SHINGLE, n), int(weight.sum())
         if len(h) < k:
             return 0.0, 0
         s, each = weighed(h, w, k)
         at = np.minimum(np.searchsorted(own, s), len(own) - 1)
-        place = np.flatnonzero(own[at] == s)
-        run, known = np.concatenate(([0], np.cumsum(each))), np.concatenate(([0], np.cumsum(np.where(own[at] == s, each, 0))))
-        begin = np.arange(1 - n, len(h))
-        a, z = np.clip(begin, 0, len(s)), np.clip(begin + n - k + 1, 0, len(s))
-        z = np.maximum(a, z)
-        most = np.minimum(known[z] - known[a], whole)
-        most = most / (whole + run[z] - run[a] - most)  # repeats counted as often as they stand
-        order = np.flatnonzero(most >= LEAST)
-        order = order[np.argsort(-most[order], kind="stable")]
-        # a repeat counts unless the window has as many before it as the item has in all
+        hit = own[at] == s
+        place = np.flatnonzero(hit)  # a best passage begins and ends with shingles of the item
+        if not len(place):
+            return 0.0, 0
+        run, known = np.concatenate(([0], np.cumsum(each))), np.concatenate(([0], np.cumsum(np.where(hit, each, 0))))
+        end = np.searchsorted(run, run[place] + whole / LEAST + 1e-6, side="right") - 1  # longer ones are below LEAST
+        most = np.minimum(known[end] - known[place], whole) / whole  # repeats counted as often as they stand
+        high = np.searchsorted(place, end)
+        # a repeat counts unless the passage has as many before it as the item has in all
         key = at[place]
         by_key = np.argsort(key, kind="stable")
         back, before = np.full(len(place), -1), np.arange(len(place)) - copies[key[by_key]]
         full = (before >= 0) & (key[by_key[before]] == key[by_key])
         back[by_key[full]] = place[by_key[before[full]]]
+        order = np.flatnonzero(most >= LEAST - 1e-9)
         top, word = 0.0, 0
-        for x in order.tolist():
+        for x in order[np.argsort(-most[order], kind="stable")].tolist():
             if top == 1.0 or most[x] < top:
                 break
-            low, high = np.searchsorted(place, (a[x], z[x]))
-            common = int(each[place[low:high]][back[low:high] < a[x]].sum())
-            alike = common / (whole + int(run[z[x]] - run[a[x]]) - common)
-            if alike >= LEAST and (alike, -int(a[x])) > (top, -word):
-                top, word = alike, int(a[x])
+            a, until = int(place[x]), int(high[x])
+            common = np.cumsum(np.where(back[x:until] < a, each[place[x:until]], 0))
+            alike = common / (whole + run[place[x:until] + 1] - run[a] - common)
+            found = float(alike.max())
+            if found >= LEAST and (found, -a) > (top, -word):
+                top, word = found, a
         return top, word
 
     def near(self, size: int, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,12 +227,15 @@ class Index:
         return out
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+def _parts(benchmark: DataFrame, id_col: str, text_col: str) -> int:
+    """Blocks that the benchmark is cut into; 1 at least."""
+    n, size = benchmark.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()
+    return max(1, -(-n // ITEMS), -(-size // BYTES))
+
+
+def _block(benchmark: DataFrame, id_col: str, text_col: str, part: int, parts: int) -> list[tuple[object, str]]:
     rows = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    parts = max(1, -(-n // ITEMS), -(-size // BYTES))
-    for part in range(parts):
-        yield [(r.id, r.text) for r in (rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part) if parts > 1 else rows).collect()]
+    return [(r.id, r.text) for r in (rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part) if parts > 1 else rows).collect()]
 
 
 def _found(index: Index, batch: pa.RecordBatch, at: int, words: Words) -> dict[tuple[int, int], tuple[float, int]]:
@@ -244,41 +252,61 @@ def _batches(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.
             yield b.slice(i, rows)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(id_col, item_col, similarity, first_word): the items that stand in each document. One scan of docs a block of the benchmark, no shuffle of texts."""
-    spark = docs.sparkSession
-    kinds = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    out = spark.createDataFrame([], f"id {kinds[0]}, item {kinds[1]}, similarity double, first_word long")
-    schema = out.schema
-    for block in blocks(benchmark, item_col, item_text):
-        sent = spark.sparkContext.broadcast(Index(block))
+def _over_blocks(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, schema: T.StructType, tell) -> DataFrame:
+    """What tell(batch, index, found) yields for each batch of rows and block of the benchmark. One block is left lazy; several run one by one."""
+    sc, parts = rows.sparkSession.sparkContext, []
+    held = list(range(_parts(benchmark, item_col, item_text)))
+    at = rows.columns.index("text")
+    for part in held:
+        sent = sc.broadcast(Index(_block(benchmark, item_col, item_text, part, len(held))))
 
         def run(batches, sent=sent):
             index, words = sent.value, Words(NOT_WORD)
             for b in _batches(batches):
-                found = _found(index, b, 1, words)
-                if found:
-                    ids = b.column(0)
-                    yield pa.RecordBatch.from_pydict({"id": ids.take(pa.array([d for d, _ in found])), "item": [index.items[i][0] for _, i in found], "similarity": [round(s, 6) for s, _ in found.values()], "first_word": [p for _, p in found.values()]}, pa.schema([("id", ids.type), ("item", pa.int64() if kinds[1] == "bigint" else pa.string() if kinds[1] == "string" else pa.int32()), ("similarity", pa.float64()), ("first_word", pa.int64())]))
+                yield from tell(b, index, _found(index, b, at, words))
+
+        out = rows.mapInArrow(run, schema)
+        if len(held) > 1:
+            out = materialize(out)
+            sent.destroy()
+        parts.append(out)
+    return functools.reduce(DataFrame.union, parts)
+
 
-        out = out.union(rows.mapInArrow(run, schema))
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(id_col, item_col, similarity, first_word): the items that stand in each document. One scan of docs a block of the benchmark, no shuffle of texts."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("item", benchmark.schema[item_col].dataType), T.StructField("similarity", T.DoubleType()), T.StructField("first_word", T.LongType())])
+    kinds = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema])
+
+    def tell(b, index, found):
+        if found:
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([d for d, _ in found])).cast(kinds.field(0).type), pa.array([index.items[i][0] for _, i in found], kinds.field(1).type), pa.array([round(s, 6) for s, _ in found.values()], pa.float64()), pa.array([p for _, p in found.values()], pa.int64())], schema=kinds)
+
+    out = _over_blocks(rows, benchmark, item_col, item_text, schema, tell)
     best = out.groupBy("id", "item").agg(F.max(F.struct("similarity", (-F.col("first_word")).alias("at"))).alias("m"))
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("m.similarity"), (-F.col("m.at")).alias("first_word"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of docs in which no item stands; no shuffle."""
-    spark = docs.sparkSession
-    at = docs.columns.index(text_col)
-    for block in blocks(benchmark, item_col, item_text):
-        sent = spark.sparkContext.broadcast(Index(block))
+    """The rows of docs in which no item stands, with docs's columns. No shuffle where the benchmark is one block; else the texts' hashes that leak are joined."""
+    if _parts(benchmark, item_col, item_text) == 1:
+        at = docs.columns.index(text_col)
+        sent = docs.sparkSession.sparkContext.broadcast(Index(_block(benchmark, item_col, item_text, 0, 1)))
 
-        def run(batches, sent=sent):
+        def run(batches):
             words = Words(NOT_WORD)
             for b in _batches(batches):
                 found = {d for d, _ in _found(sent.value, b, at, words)}
                 yield b.take(pa.array([i for i in range(b.num_rows) if i not in found], pa.int64())) if found else b
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        return docs.mapInArrow(run, docs.schema)
+    schema = T.StructType([T.StructField("hash", T.StringType())])
+
+    def tell(b, index, found):
+        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(sorted({d for d, _ in found}), pa.int64())).cast(pa.string())], ["hash"])
+
+    rows = docs.select(F.sha2(text_col, 256).alias("hash"), F.col(text_col).alias("text"))
+    leaked = materialize(_over_blocks(rows, benchmark, item_col, item_text, schema, tell).distinct())
+    name = free("hash", docs.columns)
+    return docs.join(leaked.withColumnRenamed("hash", name), F.sha2(docs[text_col], 256) == F.col(name), "left_anti")
