@@ -1,14 +1,17 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Candidates are the base spans (assign, access, hex) and the matches of further token formats that overlap none of them.
-Each candidate's secret part is hashed, and all documents of the corpus are asked how many distinct repositories and owners
-hold that hash. What WIDE or more owners hold is a widely copied example; what fewer hold looks like somebody's own. Base
-spans stay whatever the answer; further formats are added where they look like somebody's own.
+Each candidate's secret part (of a private key its body, of a header without a body the header) is hashed, and all documents
+of the corpus are asked how many distinct repositories and owners hold that hash. What WIDE or more owners hold is a widely
+copied example; what fewer hold looks like somebody's own, however many of their repositories hold it. A repository without
+an owner is its own owner. Base spans stay whatever the answer; further formats are added where they look like somebody's own.
 
 The counts are taken in three steps (repository, owner, hash), so a hash that a third of all documents hold is spread over
-its repositories and owners before it meets in one row. Everything is DataFrame expressions.
+its repositories and owners before it meets in one row; the join back to the spans has an exchange of its own on each side,
+which adaptive execution splits where one hash is hot. Everything is DataFrame expressions.
 
-Null texts are empty; a null repository or owner counts as one of its own. Rows that share an id are separate.
+Null texts are empty. Null repositories are one repository. Rows that share an id, and repeated rows, are separate. Spans that
+begin together stand in the kinds' order. A table without rows gives none.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import hex_sha256, materialize
+from ._shared import apart, hex_sha256, materialize
 from ._spans import in_order, let, of_kind, overlap, spans, told, unmarked
 
 WIDE = 3
@@ -29,7 +32,7 @@ FURTHER = {
     "github": r"gh[pousr]_[A-Za-z0-9]{20,}",
     "slack": r"xox[abprs]-[A-Za-z0-9-]{10,}",
     "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+",
-    "pem": r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----",
+    "pem": r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*+-----END [A-Z ]{0,24}PRIVATE KEY-----)?",
     "login": r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{1,64}@",
 }
 
@@ -62,6 +65,12 @@ def candidates(text: Column) -> Column:
     return let(unmarked(text), both)
 
 
+def secret_part(span: Column) -> Column:
+    """What is hashed: a private key's body without white space, any other span's value."""
+    body = F.regexp_replace(span["value"], r"-----[A-Z ]+-----|\s", "")
+    return F.when((span["kind"] == "pem") & (body != ""), body).otherwise(span["value"])
+
+
 def ownership(found: DataFrame) -> DataFrame:
     """(hash, repositories, owners) of every candidate hash in rows (hash, repository, owner)."""
     by_repository = found.groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
@@ -76,8 +85,9 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rep
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(repository_col).alias("repository"), F.col(owner_col).alias("owner"), candidates(F.col(text_col)).alias("spans"))
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()))
-    each = rows.select("row", "repository", "owner", F.explode("spans").alias("s")).withColumn("hash", F.md5("s.value"))
-    counted = each.join(ownership(each), "hash").withColumn("own", F.col("owners") < wide)
+    owner = F.coalesce(F.concat(F.lit("o:"), F.col("owner").cast("string")), F.concat(F.lit("r:"), F.col("repository").cast("string")))
+    each = rows.select("row", "repository", owner.alias("owner"), F.explode("spans").alias("s")).withColumn("hash", F.md5(secret_part(F.col("s"))))
+    counted = each.join(apart(ownership(each), "hash"), "hash").withColumn("own", F.col("owners") < wide)
     full = F.struct("s.start", "s.rank", "s.end", "s.kind", "s.base", "repositories", "owners", "own")
     back = counted.groupBy("row").agg(F.array_sort(F.collect_list(full)).alias("told"))
     none = F.array().cast(back.schema["told"].dataType)
@@ -85,8 +95,8 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rep
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts and digests of the base spans, and all spans, from secrets(). n_own counts base spans that look like somebody's own, n_copied widely copied ones."""
+    """Counts and digests of the base spans, and all spans, from secrets(). n_own counts base spans that look like somebody's own, n_copied widely copied ones; most_owners and most_repositories are the largest counts of any span's hash."""
     own = F.filter("spans", lambda s: s["base"])
     stay = F.filter("spans", lambda s: s["base"] | s["own"])
     count = lambda c: F.size(F.filter("spans", c)).cast("long")
-    return found.select(found.columns[0], *[of_kind(own, k).alias(f"n_{k}") for k in BASE], hex_sha256(told(own)).alias("base_sha256"), told(stay).alias("spans"), count(lambda s: s["base"] & s["own"]).alias("n_own"), count(lambda s: ~s["own"]).alias("n_copied"))
+    return found.select(found.columns[0], *[of_kind(own, k).alias(f"n_{k}") for k in BASE], hex_sha256(told(own)).alias("base_sha256"), told(stay).alias("spans"), count(lambda s: s["base"] & s["own"]).alias("n_own"), count(lambda s: ~s["own"]).alias("n_copied"), *[F.coalesce(F.array_max(F.col("spans").getField(k)), F.lit(0)).cast("long").alias(f"most_{k}") for k in ("owners", "repositories")])
