@@ -2,14 +2,17 @@
 
 Every k words in a row of a text are hashed and joined to the places in the license templates that have the same hash. A
 hit votes for a diagonal: its place in the text minus its place in the template. Votes are summed by document, template and
-diagonal; neighbouring diagonals (words inserted or left out) are merged where the hits of the next begin near where the
-last one's end; and a merged span is verified: it counts where its hits cover enough of the template.
+diagonal. A diagonal is supported by all votes on diagonals at most `gap` beside it (words inserted or left out); the
+supported ones of a neighbourhood are merged, wherever stray hits stand. A merged span is verified by words: the template's
+words that its hits cover must be enough of the template, and the span no longer than the template and its slack.
 
 The base phrases are templates too, and one of their places is a diagonal on which all of the phrase's hashes stand.
 What is broadcast is the table of templates, which are constants here (BOUND words at most are accepted).
 
 Words are runs of anything but ASCII characters other than letters and digits, A-Z in lower case. Null texts have none.
-Rows that share a doc_id are separate documents.
+Rows that share a doc_id, and repeated rows, are separate documents. Labels are sorted; of spans that begin together the
+template of lower number stands first. A table without rows gives none. The hits are written before they are grouped, so a
+lost executor doesn't number rows anew.
 """
 
 from __future__ import annotations
@@ -20,25 +23,47 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ._shared import ascii_lower
+from ._shared import ascii_lower, materialize
 
 K, GAP, COVER, BOUND = 3, 8, 0.6, 100_000
 LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The phrases of the contract.
 PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
-#: Public notices by which projects name their license.
+#: Public license texts and the notices by which projects name their license. Each paragraph is a template.
+MIT = [
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+    "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT',
+]
+BSD = [
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
+]
+BSD_3 = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"
+ISC = [
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    "provided that the above copyright notice and this permission notice appear in all copies",
+]
+APACHE = [
+    "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License",
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+]
 NOTICES = [
-    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "mit"),
-    ("Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License", "apache-2"),
-    ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "bsd"),
+    *((t, "mit") for t in MIT), *((t, "apache-2") for t in APACHE), *((t, "bsd") for t in BSD), (BSD_3, "bsd-3"), *((t, "isc") for t in ISC),
     ("This work is licensed under the GNU General Public License, version 3", "gpl-3"),
     ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation", "gpl"),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "lgpl"),
+    ("it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version", "agpl"),
     ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mpl-2"),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "epl-2"),
     ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
     ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
-    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+    ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work", "cc0"),
     ("This is free and unencumbered software released into the public domain", "unlicense"),
-]
+    ("This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software", "zlib"),
+]
 
 
 def words(text: Column) -> Column:
@@ -60,6 +85,11 @@ def templates(spark: SparkSession, phrases=PHRASES, notices=NOTICES, k: int = K)
     return table.select("template", "label", "base", F.size("h").alias("grams"), F.posexplode("h").alias("place", "hash"))
 
 
+def slack(words_: Column, gap: int) -> Column:
+    """By how many words a span may be longer than its template."""
+    return F.greatest(F.lit(2 * gap), F.floor(words_ / 2))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, cover: float = COVER, gap: int = GAP, **which) -> DataFrame:
     """(row, id_col, n_words, spans) of each row; spans: array of (template, base, label, first, last, score), words counted from 0.
 
@@ -71,15 +101,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     rows = rows.select("row", "id", F.size("w").cast("long").alias("n"), F.concat(F.array(F.lit(0).cast("long")), hashes(F.col("w"), k)).alias("h"))
     each = rows.select("row", "id", "n", F.posexplode("h").alias("p", "hash")).withColumn("p", F.col("p") - 1)
     each = each.join(table, (each["hash"] == table["hash"]) & (F.col("p") >= 0), "left").where("p = -1 OR template IS NOT NULL")
-    lines = each.withColumn("diagonal", F.col("p") - F.col("place")).groupBy("row", "id", "n", "template", "base", "label", "grams", "diagonal").agg(F.min("p").alias("low"), F.max("p").alias("high"), F.count("*").alias("votes"))
-    # merge diagonals of a document and template: those of notices that follow each other within `gap` words
-    order = W.partitionBy("row", "template").orderBy("low", "diagonal")
-    fresh = (F.col("base")) | F.lag("high").over(order).isNull() | (F.col("low") > F.lag("high").over(order) + gap) | (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > gap)
-    merged = lines.withColumn("new", F.when(fresh, 1).otherwise(0)).withColumn("run", F.sum("new").over(order))
-    merged = merged.groupBy("row", "id", "n", "template", "base", "label", "grams", "run").agg(F.min("low").alias("first"), (F.max("high") + k - 1).alias("last"), F.least(F.sum("votes") / F.col("grams"), F.lit(1.0)).alias("score"))
-    good = F.col("template").isNotNull() & F.when(F.col("base"), F.col("score") >= 1).otherwise(F.col("score") >= cover)
-    span = F.when(good, F.struct("template", "base", "label", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), F.round("score", 6).alias("score")))
-    return merged.groupBy("row").agg(F.first("id").alias(id_col), F.first("n").alias("n_words"), F.array_sort(F.collect_list(span)).alias("spans"))
+    each = materialize(each.select("row", "id", "n", "p", "template", "base", "label", "grams", "place"))
+    lines = each.where("p >= 0").withColumn("diagonal", F.col("p") - F.col("place")).groupBy("row", "template", "base", "label", "grams", "diagonal").agg(F.min("p").alias("low"), F.max("p").alias("high"), F.count("*").alias("votes"), F.collect_set("place").alias("places"))
+    # a diagonal and those beside it; merged where the next supported one is near
+    order = W.partitionBy("row", "template").orderBy("diagonal")
+    beside = order.rangeBetween(-gap, gap)
+    lines = lines.withColumn("support", F.when(F.col("base"), F.col("votes")).otherwise(F.sum("votes").over(beside))).where(F.when(F.col("base"), F.col("votes") >= F.col("grams")).otherwise(F.col("support") >= cover * F.col("grams") / 2))
+    fresh = F.col("base") | F.lag("diagonal").over(order).isNull() | (F.col("diagonal") - F.lag("diagonal").over(order) > gap)
+    merged = lines.withColumn("run", F.sum(F.when(fresh, 1).otherwise(0)).over(order))
+    merged = merged.groupBy("row", "template", "base", "label", "grams", "run").agg(F.min("low").alias("first"), (F.max("high") + k - 1).alias("last"), F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    covered = F.size(F.array_distinct(F.flatten(F.transform("places", lambda x: F.sequence(x, x + k - 1)))))
+    merged = merged.withColumn("score", F.least(covered / (F.col("grams") + k - 1), F.lit(1.0)))
+    fits = F.col("last") - F.col("first") + 1 <= F.col("grams") + k - 1 + slack(F.col("grams") + k - 1, gap)
+    good = merged.where(F.col("base") | ((F.col("score") >= cover) & fits))
+    span = F.struct("template", "base", "label", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), F.round("score", 6).alias("score"))
+    back = good.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("found"))
+    none = F.array().cast(back.schema["found"].dataType)
+    return each.where("p = -1").select("row", "id", "n").join(back, "row", "left").select("row", F.col("id").alias(id_col), F.col("n").alias("n_words"), F.coalesce("found", none).alias("spans"))
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
