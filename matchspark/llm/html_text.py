@@ -9,8 +9,11 @@ numpy), and pages are decoded by Viterbi.
 No labelled pages come with the data, so labelled_pages() writes some: SAMPLE pages of random words in many layouts whose
 parts are known, with broken markup too. train() takes any others of the same form.
 
-Null and empty pages, and pages without main text, give an empty string. Scripts, styles, comments and the head are no
-blocks. Markup that the page's end cuts off is dropped; an open comment or script takes the rest of the page with it.
+Null and empty pages, and pages without main text, give an empty string. Scripts, styles, comments, the title and form fields
+are no blocks; the text of formulas, drawings and unknown tags stands where it is. Markup that the page's end cuts off is
+dropped; an open comment or script takes the rest of the page with it. Rows are read one by one, so repeated rows give equal
+texts, ids may be null or repeated, and columns that aren't kept may have any name; a label's tie goes to "not main text". A
+table without rows gives none. Time and memory grow with the page, however deep its tags are.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ import functools
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,25 +36,52 @@ SAMPLE, EPOCHS = 600, 120
 TAG = re.compile(r"""<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*+)(?:>|$)|[!?/][^>]*+(?:>|$))""")
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-SILENT = {"script", "style", "noscript", "template", "title", "textarea", "svg", "math", "iframe", "select", "object", "xmp"}
+SILENT = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "select"}
+END = {t: re.compile(rf"</{t}\b[^>]*>?", re.I) for t in SILENT}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
-INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr nobr".split())
+#: Tags that end a block; all others stand within one, formulas, drawings and unknown tags too.
+BLOCKS = set("html head body address article aside blockquote button center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li legend main menu nav ol optgroup option p pre search section summary table caption colgroup thead tbody tfoot tr td th ul".split())
 CLOSES_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul li".split())
 PARTS = {"ad", "ads", "advert", "advertisement", "sponsor", "sponsored", "promo", "banner", "nav", "navbar", "menu", "breadcrumb", "breadcrumbs", "header", "masthead", "footer", "sidebar", "side", "aside", "widget", "related", "share", "social", "comment", "comments", "reply", "replies", "cookie", "consent", "notice", "popup", "modal", "newsletter", "subscribe", "signup", "login", "search", "form", "copyright", "legal", "content", "article", "post", "entry", "main", "body", "story", "text", "page"}
 
 
+class Node:
+    """An open tag. What its blocks say of their ancestors is shared with the parent where it is the same, so depth costs nothing."""
+
+    __slots__ = ("after", "known", "name", "parent", "parts", "tags")
+
+    def __init__(self, parent: Node | None, name: str, parts: frozenset[str]):
+        self.parent, self.name, self.known = parent, name, None
+        none = frozenset()
+        tags, all_parts, after = (parent.tags, parent.parts, parent.after) if parent else (none, none, None)
+        self.tags = tags if name in tags else tags | {name}
+        self.parts = all_parts if parts <= all_parts else all_parts | parts
+        if name in ("article", "main"):
+            self.after = none
+        else:
+            self.after = after if after is None or name in after else after | {name}
+
+    def around(self) -> tuple[str, ...]:
+        """Features of a block's ancestors."""
+        if self.known is None:
+            found = {f"in:{t}" for t in self.tags} | {f"name:{p}" for p in self.parts} | {f"within:{t}" for t in self.after or ()}
+            found |= {f"own:{self.name}", f"up:{self.parent.name if self.parent else ''}"}
+            self.known = tuple(sorted(found))
+        return self.known
+
+
 class Block:
-    __slots__ = ("linked", "path", "pieces", "text")
+    __slots__ = ("linked", "node", "pieces", "text")
 
-    def __init__(self, path):
-        self.path, self.pieces, self.linked, self.text = path, [], 0, ""
+    def __init__(self, node: Node | None):
+        self.node, self.pieces, self.linked, self.text = node, [], 0, ""
 
 
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order, empty ones left out."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    path: tuple = ()
+    node: Node | None = None
+    depth = Counter()  # open tags by name
     block = None
     links = at = 0
     end = len(page)
@@ -60,7 +91,7 @@ def blocks(page: str) -> list[Block]:
         if block is None:
             if piece.isspace():
                 return
-            block = Block(path)
+            block = Block(node)
         block.pieces.append(piece)
         if links:
             block.linked += len(piece)
@@ -89,53 +120,39 @@ def blocks(page: str) -> list[Block]:
         if not name:
             continue
         closing = bool(m[2] or m[5])
-        if name in INLINE:
-            if name == "br":
-                say(" ")
-            elif name == "a":
-                links = max(0, links - 1) if closing else 1
-            continue
         if name in SILENT:
             if not closing and not (m[4] or m[7] or "").endswith("/"):
-                stop = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
+                stop = END[name].search(page, at)
                 at = stop.end() if stop else end
                 if name not in ("script", "style", "noscript", "template"):
                     close()
             continue
+        if name not in BLOCKS:
+            if name == "br":
+                say(" ")
+            elif name == "a":
+                links = max(0, links - 1) if closing else 1
+            continue
         close()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    path = tuple(stack)
+            while depth[name]:  # up to the tag that it closes
+                depth[node.name] -= 1
+                closed, node = node.name, node.parent
+                if closed == name:
                     break
         elif name not in VOID:
-            if name in CLOSES_P and stack and stack[-1][0] == "p":
-                stack.pop()
-            if name in ("li", "td", "th", "tr", "dt", "dd") and stack and stack[-1][0] == name:
-                stack.pop()
+            if node and (node.name == "p" and name in CLOSES_P or node.name == name and name in ("li", "td", "th", "tr", "dt", "dd")):
+                depth[node.name] -= 1
+                node = node.parent
             attrs = m[4] or m[7] or ""
-            parts = tuple(sorted({p.lower() for x in NAMES.findall(attrs) for p in PART.findall("".join(x))} & PARTS)) if "=" in attrs else ()
+            parts = frozenset({p.lower() for x in NAMES.findall(attrs) for p in PART.findall("".join(x))} & PARTS) if "=" in attrs else frozenset()
             links = 0
-            stack.append((name, parts))
-            path = tuple(stack)
+            depth[name] += 1
+            node = Node(node, name, parts)
     close()
     return out
 
 
-@functools.lru_cache(1 << 14)
-def around(path: tuple) -> tuple[str, ...]:
-    """Features of a block's ancestors."""
-    tags = [t for t, _ in path]
-    found = {f"in:{t}" for t in tags} | {f"name:{p}" for _, parts in path for p in parts}
-    found.add(f"own:{tags[-1] if tags else ''}")
-    found.add(f"up:{tags[-2] if len(tags) > 1 else ''}")
-    if "article" in tags or "main" in tags:
-        after = {t for t in tags[max(i for i, t in enumerate(tags) if t in ("article", "main")) + 1 :]}
-        found |= {f"within:{t}" for t in after}
-    return tuple(sorted(found))
-
-
 COPYRIGHT = re.compile(r"©|\(c\)|copyright|all rights reserved|cookie|subscribe|sign up", re.I)
 
 
@@ -145,7 +162,7 @@ def features(b: Block) -> list[str]:
     share = b.linked / max(1, sum(map(len, b.pieces)))
     link = "0" if share == 0 else "1" if share < 0.4 else "2" if share < 0.9 else "3"
     end = "1" if b.text[-1] in ".!?:;\"'”»…" else "0"
-    out = [*around(b.path), "size:" + size, "link:" + link, "end:" + end, f"size:{size}:{link}"]
+    out = [*(b.node.around() if b.node else ("own:", "up:")), "size:" + size, "link:" + link, "end:" + end, f"size:{size}:{link}"]
     if n < 400 and COPYRIGHT.search(b.text):
         out.append("says:legal")
     return out
