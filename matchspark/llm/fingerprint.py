@@ -10,8 +10,8 @@ Two kinds of lanes make up a vector:
 * 256 lanes modulo 2^32 that count the paragraph's three-word shingles with signs (a count sketch). Read as signed
   numbers, their cosine estimates how many shingles two texts share; its standard error is about 1/16.
 
-Null and empty texts hold one empty paragraph. Rows that share a doc_id are separate documents, ordered by
-their texts; null doc_ids come first. A table without rows gives none.
+Null and empty texts hold one empty paragraph. Rows that share a doc_id are separate documents, ordered by the MD5 of their
+texts; null doc_ids come first. A table without rows gives none; a single row follows itself.
 """
 
 from __future__ import annotations
@@ -22,13 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._kernel import Words, shingles
 from ._shared import small_batches, texts
 
 EXACT, SKETCH, SHINGLE = 16, 256, 3
+BYTES, WIDTH = 1 << 27, 64
 
 
 class Fingerprint:
@@ -93,31 +94,47 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fingerprint string").withColumnRenamed("id", id_col)
 
 
+def bounds_of(ids: DataFrame, n: int) -> list[tuple[int | None, str]]:
+    """At most about 2 * n bounds (id, hash) that cut the rows into ranges of about equal numbers. An id that has more rows than a range should is cut by its rows' hashes."""
+    rows = ids.count()
+    cuts = ids.where("id IS NOT NULL").select(F.col("id").cast("double").alias("id")).approxQuantile("id", [i / n for i in range(1, n)], 1 / (4 * n)) if n > 1 else []
+    out = {(int(x), "") for x in cuts}
+    for r in ids.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > max(1, 2 * rows // n)).collect():  # n / 2 rows at most
+        parts = -(-r.n * n // rows)
+        out |= {(r.id, f"{i * 16**8 // parts:08x}") for i in range(1, parts)} | ({(r.id, "")} if r.id is not None else set())
+    return sorted(out, key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+
+
+def bucket_of(bounds: list[tuple[int | None, str]]) -> Column:
+    """How many bounds are at or before a row (id, h): looked up among every WIDTH-th of them, then among WIDTH."""
+    if not bounds:
+        return F.lit(0)
+    row = F.struct(F.col("id"), F.col("h"))
+    listed = [F.struct(F.lit(i).cast("long").alias("id"), F.lit(h).alias("h")) for i, h in bounds]
+    blocks = [listed[at : at + WIDTH] for at in range(0, len(listed), WIDTH)]
+    before = F.size(F.filter(F.array(*[b[0] for b in blocks]), lambda x: x <= row))
+    own = F.get(F.array(*[F.array(*b) for b in blocks]), before - 1)
+    return F.when(before == 0, 0).otherwise((before - 1) * WIDTH + F.size(F.filter(own, lambda x: x <= row)))
+
+
 def in_order(docs: DataFrame) -> DataFrame:
-    """Rows (bucket, id, text, own) in buckets of neighbouring ids, sorted within; the first row of the next bucket, or of the first one after the last, follows each bucket's own rows with own = false.
+    """Rows (bucket, id, text, own) in buckets of neighbouring rows by id and hash, sorted within; the first row of the next bucket, or of the first one after the last, follows each bucket's own rows with own = false.
 
-    The bounds are quantiles of the ids. One row a bucket goes to the driver, so that each bucket knows what follows it.
+    Buckets hold about BYTES bytes of text, or less. One row (bucket, id, hash) a bucket goes to the driver, so that each
+    bucket knows what follows it.
     """
-    spark = docs.sparkSession
-    n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select("id").where("id is not null")
-    bounds = sorted({int(x) for x in ids.select(F.col("id").cast("double").alias("id")).approxQuantile("id", [i / n for i in range(1, n)], 1 / (4 * n))}) if n > 1 else []
-    edges = F.array(*[F.lit(x).cast("long") for x in bounds])
-    bucket = F.coalesce(F.size(F.filter(edges, lambda x: x <= F.col("id"))), F.lit(0)) if bounds else F.lit(0)
-    numbered = docs.select(bucket.cast("int").alias("bucket"), "id", "text")
-    first = sorted((r.bucket, r.first, r.nulls) for r in numbered.groupBy("bucket").agg(F.min("id").alias("first"), F.count_if(F.col("id").isNull()).alias("nulls")).collect())
-    follows = {(None if nulls else lowest): first[i - 1][0] for i, (_, lowest, nulls) in enumerate(first)}
-    before = F.lit(None).cast("int")
-    for lowest, to in follows.items():
-        before = F.when(F.col("id").isNull() if lowest is None else F.col("id") == lowest, F.lit(to)).otherwise(before) if len(follows) <= 64 else before
-    if len(follows) > 64:  # a map instead of a chain of conditions
-        pairs = [x for lowest, to in follows.items() if lowest is not None for x in (F.lit(lowest).cast("long"), F.lit(to))]
-        before = F.try_element_at(F.create_map(*pairs), F.col("id")) if pairs else before
-        if None in follows:
-            before = F.when(F.col("id").isNull(), F.lit(follows[None])).otherwise(before)
-    places = F.array_compact(F.array(F.struct(F.col("bucket"), F.lit(True).alias("own")), F.when(before.isNotNull(), F.struct(before.alias("bucket"), F.lit(False).alias("own")))))
-    placed = numbered.select("id", "text", F.explode(places).alias("p")).select("p.bucket", "p.own", "id", "text")
-    return placed.repartition("bucket").sortWithinPartitions("bucket", F.desc("own"), F.asc_nulls_first("id"), "text")
+    n = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    hashed = docs.select("id", F.substring(F.md5(F.coalesce("text", F.lit(""))), 1, 8).alias("h"), "text")
+    bounds = bounds_of(docs.select("id"), max(n, -(-size // BYTES)))
+    numbered = hashed.select(bucket_of(bounds).cast("int").alias("bucket"), "id", "h", "text")
+    first = sorted(((r.bucket, r.m.id, r.m.h) for r in numbered.groupBy("bucket").agg(F.min(F.struct("id", "h")).alias("m")).collect()), key=lambda x: x[0])
+    key = lambda i, h: F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("-")), h)
+    pairs = [F.lit(x) for at, (_, i, h) in enumerate(first) for x in (f"{'-' if i is None else i}:{h}", first[at - 1][0])]
+    follows = F.try_element_at(F.create_map(*pairs), key(F.col("id"), F.col("h"))) if pairs else F.lit(None).cast("int")
+    places = F.array_compact(F.array(F.struct(F.col("bucket"), F.lit(True).alias("own")), F.when(follows.isNotNull(), F.struct(follows.alias("bucket"), F.lit(False).alias("own")))))
+    placed = numbered.select("id", "h", "text", F.explode(places).alias("p")).select("p.bucket", "p.own", "id", "h", "text")
+    return placed.repartition("bucket").sortWithinPartitions("bucket", F.desc("own"), F.asc_nulls_first("id"), "h", "text").drop("h")
 
 
 def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = 4) -> DataFrame:
