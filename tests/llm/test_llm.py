@@ -1,9 +1,11 @@
 """Corpus operators against brute force, on edge cases and on the small tables."""
 
 import hashlib
+import html
 import re
 import zlib
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -99,19 +101,57 @@ def test_lanes_hold_many_repeats():
     assert fingerprint.likeness(a, b) > 0.99
 
 
-@pytest.mark.parametrize("which", ["docs", "edge"])
-def test_neighbours(request, which):
-    df = request.getfixturevalue(which)
+@pytest.mark.parametrize("which", ["docs", "edge", "hot", "empty"])
+def test_neighbours(request, which, spark):
+    hot = [(None, f"null {i}") for i in range(60)] + [(5, f"five\n{i % 30} x y z") for i in range(60)] + [(i, "t" * i) for i in range(20)]
+    df = frame(spark, hot) if which == "hot" else request.getfixturevalue(which)
     got = Counter((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) for r in fingerprint.compare_neighbours(df).collect())
-    all_ = sorted(((i is not None, i or 0, t, i) for i, t in rows(df)))
+    all_ = sorted(((i is not None, i or 0, hashlib.md5(t.encode()).hexdigest()[:8], t, i) for i, t in rows(df)), key=lambda x: x[:4])
     own, want = fingerprint.Fingerprint(), Counter()
-    for at, (_, _, text, i) in enumerate(all_):
-        n, after = len(text) // 4, all_[(at + 1) % len(all_)][2]
+    for at, (_, _, _, text, i) in enumerate(all_):
+        n, after = len(text) // 4, all_[(at + 1) % len(all_)][3]
         new = text[: len(text) - n] + after[:n]
         want[i, len(text), hashlib.sha256(new.encode()).hexdigest(), fingerprint.as_text(own.of(text)), fingerprint.as_text(own.of(new))] += 1
     assert got == want
 
 
+def shared_shingles(a, b):
+    """The cosine of two texts' counts of three-word runs within lines."""
+    counts = []
+    for t in (a, b):
+        c = Counter()
+        for line in t.split("\n"):
+            w = re.findall(r"[^\x20\x09-\x0D]+", line)
+            c.update([tuple(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) > 2 else [tuple(w)] if w else [])
+        counts.append(c)
+    x, y = counts
+    whole = (sum(n * n for n in x.values()) * sum(n * n for n in y.values())) ** 0.5
+    return sum(n * y[k] for k, n in x.items()) / whole if whole else float(a == b)
+
+
+def test_likeness_is_near_that_of_true_counts(docs):
+    got = {r.doc_id: r for r in fingerprint.compare_neighbours(docs).collect()}
+    all_ = sorted(rows(docs))
+    off = []
+    for at, (i, text) in enumerate(all_):
+        after = all_[(at + 1) % len(all_)][1]
+        n = len(text) // 4
+        off += [abs(got[i].near_edited - shared_shingles(text, text[: len(text) - n] + after[:n])), abs(got[i].near_next - shared_shingles(text, after))]
+    assert np.mean(off) < 1 / 16
+    assert np.max(off) < 5 / 16
+
+
+@pytest.mark.parametrize("n", [240_000, 1_000_000])
+def test_likeness_of_long_texts(spark, n):
+    """Texts of a megabyte with repeats: a likeness near the true one."""
+    line, words_ = ("a b c " * n)[:n], " ".join(f"w{i * i % 9973}" for i in range(n // 6))
+    equal, more = "one two three\n" * (n // 14), "one two three\n" * (n // 15)
+    own = fingerprint.Fingerprint()
+    for a, b in ((line, line[: len(line) - n // 4] + "z" * 9), (words_, words_[: len(words_) * 3 // 4] + line[: n // 4]), (equal, more), (words_, line)):
+        assert abs(fingerprint.likeness(own.of(a), own.of(b)) - shared_shingles(a, b)) < 5 / 16
+    assert fingerprint.likeness(own.of(equal), own.of(more)) == pytest.approx(1, abs=1e-6)
+
+
 # ---- 2 ----
 
 
@@ -151,18 +191,67 @@ def test_index_finds_all_within_radius(flips, seed):
 
 
 def brute_leak(doc, item):
-    """The best similarity of the item's words and as many of the document's, by counting shingles at every start."""
-    k, heavy = min(5, len(item)), lambda x: sum(min(len(w.encode()), 15) for w in x)
+    """The best similarity of the item's words and any passage of the document's, by counting shingles from every start to every end."""
+    k = min(5, len(item))
+    heavy = lambda x: sum(min(len(w.encode()), 15) for w in x)
+    grams = lambda x: [tuple(x[i : i + k]) for i in range(len(x) - k + 1)]
+    own, every, best = Counter(grams(item)), grams(doc), 0.0
+    whole = sum(heavy(x) * n for x, n in own.items())
+    for a in range(len(every)):
+        left, common, size = own.copy(), 0, 0
+        for x in every[a:]:
+            size += heavy(x)
+            if left[x] > 0:
+                left[x] -= 1
+                common += heavy(x)
+            best = max(best, common / (whole + size - common))
+            if size > 2 * whole:
+                break
+    return best
 
-    def grams(x):
-        return Counter(tuple(x[i : i + k]) for i in range(len(x) - k + 1))
 
-    own, best = grams(item), 0.0
-    for a in range(1 - len(item), len(doc)):
-        other = grams(doc[max(a, 0) : max(a + len(item), 0)])
-        common = sum(heavy(x) * n for x, n in (own & other).items())
-        best = max(best, common / sum(heavy(x) * n for x, n in (own | other).items()))
-    return best
+def altered(words, how, n, r):
+    w = words[:]
+    for at in sorted(r.choice(np.arange(1, len(w) - 1), n, replace=False), reverse=True):
+        if how == "replaced":
+            w[at] = f"new{r.integers(10**6)}"
+        elif how == "inserted":
+            w.insert(at, f"new{r.integers(10**6)}")
+        else:
+            del w[at]
+    return w
+
+
+def test_recall_of_altered_passages(spark):
+    """Passages whose similarity is 0.8 or more are all found, whatever was done to their words."""
+    r = np.random.default_rng(11)
+    items = {n: [f"t{n}w{x}" for x in r.integers(0, 10**6, n)] for n in (60, 300, 1000)}
+    docs, want = [], {}
+    for n, item in items.items():
+        for how in ("replaced", "inserted", "deleted"):
+            for edits in {1, n // 200 + 1, n // 100 + 1, n // 70, n // 60, n // 50, n // 40}:
+                i = len(docs)
+                w = altered(item, how, edits, r)
+                docs.append((i, ["x"] * int(r.integers(0, 50)) + w + ["y"] * int(r.integers(0, 50))))
+                if (s := brute_leak(docs[i][1], item)) >= 0.8:
+                    want[i, n] = round(s, 6)
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id int, text string")
+    got = {(x.doc_id, x.item_id): x.similarity for x in decontaminate.find_leaks(frame(spark, [(i, " ".join(w)) for i, w in docs]), bench).collect()}
+    assert len(want) > 25
+    assert got == want
+
+
+def test_blocks_of_the_benchmark_agree(spark, docs, monkeypatch):
+    """Several blocks find what one finds, and drop the same rows, with any type of item id."""
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").withColumn("item_id", F.concat(F.lit("i"), "item_id"))
+    df = docs.select("doc_id", "text", F.lit(1).alias("hash"))
+    one = sorted(map(tuple, decontaminate.find_leaks(df, bench).collect()))
+    left = sorted(r.doc_id for r in decontaminate.drop_leaks(df, bench).collect())
+    monkeypatch.setattr(decontaminate, "ITEMS", 7)
+    assert one == sorted(map(tuple, decontaminate.find_leaks(df, bench).collect()))
+    out = decontaminate.drop_leaks(df, bench)
+    assert out.columns == df.columns
+    assert left == sorted(r.doc_id for r in out.collect())
 
 
 def test_near_copies_leak_wherever_they_stand(spark):
@@ -250,6 +339,49 @@ def test_copied_secrets_are_told_apart(spark):
     assert got[0] == ""
 
 
+FURTHER = r"""(?P<github>gh[pousr]_[A-Za-z0-9]{20,})|(?P<slack>xox[abprs]-[A-Za-z0-9-]{10,})|(?P<pem>-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,24}PRIVATE KEY-----)?)"""
+
+
+def brute_secrets(given, wide=3):
+    """Spans of each (repository, owner, text), by counting the owners of every secret in all texts."""
+    found, owners = [], defaultdict(set)
+    for repository, owner, text in given:
+        base_ = [(*(int(x) for x in s.split(":")[1:]), s.split(":")[0]) for s in filter(None, secret(text).split(","))]
+        rest = [(m.start(), m.end(), m.lastgroup) for m in re.finditer(FURTHER, text) if not any(m.start() < e and s < m.end() for s, e, _ in base_)]
+        mine = []
+        for s, e, kind in [*base_, *rest]:
+            v = text[s:e]
+            if kind == "assign":
+                v = re.search(r"""[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$""", v)[1]
+            if kind == "pem":
+                v = re.sub(r"-----[A-Z ]+-----|\s", "", v) or v
+            owners[v].add(owner if owner is not None else ("alone", repository))
+            mine.append((s, e, kind, v))
+        found.append(sorted(mine))
+    return [[f"{k}:{s}:{e}" for s, e, k, v in mine if k in ("assign", "access", "hex") or len(owners[v]) < wide] for mine in found]
+
+
+def test_further_secrets_equal_brute_force(spark):
+    r = np.random.default_rng(3)
+    key = lambda n: "".join(r.choice(list("ABCDEFGHIJKLmnopqrstuvwxyz0123456789"), n))
+    pem = lambda body: f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    wide, own = [f"ghp_{key(30)}" for _ in range(3)], [f"xoxb-{key(12)}" for _ in range(12)]
+    given = [(i, None if i % 4 == 0 else f"o{i % 6}", f"text é {wide[i % 3]} and {own[i % 12]}\npassword = 'hunter{i % 2}22' " + pem(key(64) if i % 3 else "QUJD" * 9)) for i in range(48)]
+    given += [(100 + i, "o1", "-----BEGIN PRIVATE KEY----- see above") for i in range(5)] + [(200, "o2", None), (None, "o2", "ghp_" + "Zz" * 15)]
+    df = spark.createDataFrame(given, "doc_id long, source string, text string")
+    got = Counter((x.doc_id, x.spans) for x in credentials.digest(credentials.secrets(df)).collect())
+    want = brute_secrets([(i, o, t or "") for i, o, t in given])
+    assert got == Counter((i, ",".join(s)) for (i, _, _), s in zip(given, want, strict=True))
+
+
+def test_private_keys_are_told_by_their_bodies(spark):
+    block = lambda body: f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----"
+    df = spark.createDataFrame([(i, f"s{i}", block(f"KEY{i}" * 12)) for i in range(4)] + [(10 + i, f"s{i}", block("SAME" * 12)) for i in range(4)], "doc_id long, source string, text string")
+    got = {x.doc_id: x for x in credentials.digest(credentials.secrets(df)).collect()}
+    assert all(got[i].spans == f"pem:0:{len(block('KEY0' * 12))}" for i in range(4))
+    assert all(got[10 + i].spans == "" and got[10 + i].most_owners == 4 for i in range(4))
+
+
 # ---- 4 ----
 
 
@@ -312,6 +444,59 @@ def test_diagonals_bear_gaps(spark):
     assert got == {1: "mit", 2: ""}
 
 
+def brute_labels(words_, cover=0.6, gap=8, k=3):
+    """Labels of the notices in a list of words: for each, the runs of diagonals that have enough votes beside them, and the words of the notice that their hits cover."""
+    out = set()
+    for text, label in licenses.NOTICES:
+        own = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(UPPER))
+        hits = defaultdict(list)
+        for p in range(len(words_) - k + 1):
+            for q in range(len(own) - k + 1):
+                if words_[p : p + k] == own[q : q + k]:
+                    hits[p - q].append((p, q))
+        strong = sorted(d for d in hits if sum(len(h) for e, h in hits.items() if abs(e - d) <= gap) >= cover * (len(own) - k + 1) / 2)
+        runs = []
+        for d in strong:
+            if not runs or d - runs[-1][-1] > gap:
+                runs.append([])
+            runs[-1].append(d)
+        for run in runs:
+            both = [x for d in run for x in hits[d]]
+            covered = {q + j for _, q in both for j in range(k)}
+            length = max(p for p, _ in both) + k - min(p for p, _ in both)
+            if len(covered) >= cover * len(own) - 1e-9 and length <= len(own) + max(2 * gap, len(own) // 2):
+                out.add(label)
+    return out
+
+
+def test_labels_equal_brute_force(spark):
+    r = np.random.default_rng(9)
+    given = []
+    for at, (text, _) in enumerate(licenses.NOTICES):
+        w = text.split()
+        stray = w[: max(3, len(w) // 4)]
+        given += [["x"] * at + w, w[: len(w) // 2], [*w[: len(w) // 2], *stray, *w[len(w) // 2 :]], [*w[:5], "really", *w[5:9], *stray, *w[9:]], w[::-1], [*w, "y"] * 3]
+        for _ in range(4):
+            given.append([x for x in w if r.random() > 0.12])
+            given.append([y for x in w for y in ([x, "plus"] if r.random() < 0.1 else [x])])
+    df = frame(spark, [(i, " ".join(w)) for i, w in enumerate(given)])
+    got = {x.doc_id: set(filter(None, x.labels.split(","))) for x in licenses.digest(licenses.scan(df)).collect()}
+    want = {}
+    for i, w in enumerate(given):
+        words_ = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ".join(w).translate(UPPER))
+        phrases = {label for p, label in licenses.PHRASES if f" {p} " in f" {' '.join(words_)} "}
+        want[i] = brute_labels(words_) | phrases
+    assert got == want
+    assert all(label in got[14 * at] and label in got[14 * at + 3] for at, (_, label) in enumerate(licenses.NOTICES))
+
+
+def test_stray_hits_keep_the_label(spark):
+    notice = licenses.NOTICES[0][0].split()
+    texts_ = [[*notice[:9], *more, *notice[9:]] for more in (["really"], "permission is hereby granted".split(), "any person obtaining a copy".split())]
+    got = licenses.digest(licenses.scan(frame(spark, [(i, " ".join(w)) for i, w in enumerate(texts_)]))).collect()
+    assert {x.labels for x in got} == {"mit"}
+
+
 # ---- 6 ----
 
 
@@ -436,7 +621,9 @@ def brute_targets(sizes):
     return at
 
 
-def test_targets_fill_up_to_their_caps(spark):
+@pytest.mark.parametrize("few", [10_000, 0])
+def test_targets_fill_up_to_their_caps(spark, monkeypatch, few):
+    monkeypatch.setattr(mixing, "FEW", few)
     for sizes in ({"a": 10, "b": 1000, None: 3, "c": 500, "d": 0}, {"é": 7}, {f"h{i}": i * i % 97 for i in range(50)}):
         df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
         got = {r.source: r.target for r in mixing.targets(df).collect()}
@@ -512,6 +699,74 @@ def test_pages(spark):
     assert got[5] == "A&B c, d e f g. Two words of text."
 
 
+class PlainBlocks(HTMLParser):
+    """Blocks of a page by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.now, self.silent = [], [], 0
+
+    def cut(self):
+        if text := " ".join("".join(self.now).split()):
+            self.out.append(text)
+        self.now = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("title", "style", "script"):
+            self.silent += 1
+        elif tag == "br":
+            self.now.append(" ")
+        elif tag in html_text.BLOCKS:
+            self.cut()
+
+    def handle_endtag(self, tag):
+        if tag in ("title", "style", "script"):
+            self.silent -= 1
+        elif tag in html_text.BLOCKS:
+            self.cut()
+
+    def handle_data(self, data):
+        if not self.silent:
+            self.now.append(data)
+
+
+def test_main_text_equals_brute_force(spark):
+    """Pages whose parts are known: the text is that of the main parts, read by another parser."""
+    pages = html_text.labelled_pages(200, 41)
+    df = spark.createDataFrame([(i, "u", p) for i, (p, _) in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    same = 0
+    for i, (page, labels) in enumerate(pages):
+        plain = PlainBlocks()
+        plain.feed(page)
+        plain.close()
+        plain.cut()
+        assert plain.out == [b.text for b in html_text.blocks(page)]
+        same += got[i] == " ".join(t for t, y in zip(plain.out, labels, strict=True) if y)
+    assert same >= 0.95 * len(pages)
+
+
+def test_given_pages_equal_their_layout(spark):
+    """In the given pages the main text is all that the article holds."""
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    for r in html_text.extract(df).join(df.select("page_id", "html"), "page_id").collect():
+        inside = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
+        assert r.text == " ".join(html.unescape(re.sub(r"</?(?:p|h1|br)>", " ", inside).replace("<b>", "").replace("</b>", "")).split())
+
+
+def test_deep_and_long_pages(spark):
+    words_ = " ".join(f"word{i}" for i in range(150_000))
+    body = "<p>We have <math><mi>x</mi></math> here, it is good.</p><p>An <object>old</object> <svg><text>drawn</text></svg> word or <x-note>two</x-note> more.</p>"
+    given = [(1, "<div>" * 100_000 + "x" + "</section>" * 1000), (2, "<div>x" * 100_000), (3, f"<article><h1>A title here.</h1><p>{words_}.</p></article>"), (4, f"<article>{body}</article>"), (4, f"<article>{body}</article>")]
+    df = spark.createDataFrame([(i, "u", p, "own") for i, p in given], "page_id long, url string, html string, text string")
+    found = html_text.extract(df).collect()
+    got = {r.page_id: r.text for r in found}
+    assert len(found) == 5
+    assert got[3] == f"A title here. {words_}."
+    assert got[4] == "We have x here, it is good. An old drawn word or two more."
+    assert html_text.extract(df.where("false")).count() == 0
+
+
 def test_viterbi_equals_all_paths():
     f = html_text.Field({"a": 0.7, "b": -0.4}, [[0.2, -0.3], [-0.1, 0.5]], -0.2)
     found = [["a"], ["b"], ["a", "b"], ["b"]]
