@@ -643,38 +643,76 @@ def test_mix_emits_rows_as_often_as_mixture_says(spark, docs, empty):
 # ---- 8 ----
 
 
-def test_scores(docs, edge, empty):
-    model = lm.fit(docs)
-    again = lm.fit(docs)
-    assert (model[1].params == again[1].params).all()
-    got = {r.doc_id: r for r in lm.scores(docs, model=model).collect()}
-    assert all(r.log_prob < 0 for r in got.values() if r.n_tokens)
-    reader, (vocabulary, network) = lm.Reader(), model
-    i, t = max(rows(docs), key=lambda x: len(x[1]))
-    line, at = reader.lay([reader.tokens(t)], vocabulary)
-    each = network.log_probs(reader.around(line, at), line[at]) + vocabulary.log_share[reader.tokens(t)]
-    assert abs(each.sum() - got[i].log_prob) < 0.1
-    uniform = -np.log(vocabulary.classes)
-    assert network.log_probs(reader.around(line, at), line[at]).mean() > uniform
-    out = {r.doc_id: r for r in lm.scores(edge, model=model).collect()}
-    assert (out[1].n_tokens, out[1].log_prob, out[1].mean_log_prob) == (0, 0.0, None)
+def brute_score(network, vocabulary, counts, text, own):
+    """A text's score word by word: both softmaxes over all their entries, and the word's share of its leaf."""
+    table, bias, out, top, out2, top2 = (x.astype(float) for x in network.parts(network.params))
+    tokens = lm.Reader().tokens(text).tolist()
+    n = [counts[w] for w in tokens]
+    leaf = [int(vocabulary.cells.of[lm.cell(np.array([w]), np.array([k]))[0]]) for w, k in zip(tokens, n, strict=True)]
+    cls = [x // lm.SUBS for x in leaf]
+    whole = 0.0
+    for i, x in enumerate(leaf):
+        sides = [cls[i + d] if 0 <= i + d < len(cls) else lm.CLASSES for d in (-2, -1, 1, 2)]
+        hidden = np.tanh(bias + sum(table[j][c] for j, c in enumerate(sides)))
+        for logits, y in ((top + hidden @ out, cls[i]), (top2[cls[i]] + hidden @ out2[cls[i]], x % lm.SUBS)):
+            whole += logits[y] - np.log(np.exp(logits).sum())
+        whole += np.log((n[i] - own + 0.5) / (vocabulary.cells.total[x] - own))
+    return whole
+
+
+def test_scores_equal_brute_force(docs, edge, empty):
+    got = {r.doc_id: r for r in lm.scores(docs).collect()}
+    again = {r.doc_id: r for r in lm.scores(docs.repartition(5)).collect()}
+    assert set(got) == set(again)  # whatever the partitions; 32-bit sums of a batch are rounded in its order
+    assert all(got[i].log_prob == pytest.approx(again[i].log_prob, rel=1e-6, abs=1e-3) and got[i][1] == again[i][1] and got[i].n_novel == again[i].n_novel for i in got)
+    vocabulary, network = lm.fit(docs.select(F.col("text")))
+    given = rows(docs)
+    counts = Counter(w for _, t in given for w in lm.Reader().tokens(t).tolist())
+    assert {r.word: r.n for r in vocabulary.table.collect()} == counts
+    assert all(r.n_novel == sum(counts[w] == 1 for w in lm.Reader().tokens(t).tolist()) for r, t in ((got[i], t) for i, t in given))
+    laid = {r.doc_id: r for r in lm.scores(docs, model=(vocabulary, network)).collect()}
+    for i, t in given[:12]:
+        assert laid[i].log_prob == pytest.approx(brute_score(network, vocabulary, counts, t, 0), rel=1e-4, abs=0.05)
+    out = {r.doc_id: r for r in lm.scores(edge, model=(vocabulary, network)).collect()}
+    assert (out[1].n_tokens, out[1].log_prob, out[1].mean_log_prob, out[1].n_novel) == (0, 0.0, None, 0)
+    assert len(lm.scores(edge).collect()) == len(EDGE)
     assert lm.scores(empty).count() == 0
 
 
-def test_every_word_has_its_own_count(spark):
+def test_own_occurrence_is_left_out(spark):
+    """Scores of a corpus's own documents leave out the word that is predicted; documents that stand twice lack nothing."""
+    r = np.random.default_rng(4)
+    given = [(i, " ".join(f"v{x}" for x in r.integers(0, 10**7, 50))) for i in range(60)]
+    given += [(100 + i, t) for i, t in given[:20]]
+    df = frame(spark, given)
+    got = {x.doc_id: x for x in lm.scores(df).collect()}
+    assert all(got[i].n_novel == (0 if i < 20 or i >= 100 else 50) for i in got)
+    assert min(got[i].mean_log_prob for i in range(20)) > max(got[i].mean_log_prob for i in range(20, 60))
+
+
+def test_gradient_is_that_of_differences():
+    r = np.random.default_rng(1)
+    network = lm.Network(mass=r.random(lm.CLASSES * lm.SUBS))
+    network.params = r.normal(0, 0.3, len(network.params))
+    context, leaf = r.integers(0, lm.CLASSES + 1, (4, 40)), r.integers(0, lm.CLASSES * lm.SUBS, 40)
+    grad, loss = network.gradient(context, leaf), lambda: -network.log_probs(context, leaf).mean()
+    for at in [*r.choice(len(grad), 60, replace=False), *np.argsort(-abs(grad))[:60]]:
+        network.params[at] += 1e-5
+        up = loss()
+        network.params[at] -= 2e-5
+        assert (up - loss()) / 2e-5 == pytest.approx(grad[at], abs=1e-7)
+        network.params[at] += 1e-5
+
+
+def test_network_learns_both_sides(spark):
+    """Words that their neighbours tell are likelier than by counts alone."""
     r = np.random.default_rng(2)
-    given = [(i, " ".join(f"v{x}" for x in r.integers(0, 50_000 if i % 2 else 30, 60))) for i in range(3000)]
-    n = Counter(w for _, t in given for w in t.split())
-    vocabulary, _ = lm.fit(frame(spark, given))
-    reader = lm.Reader()
-    assert vocabulary.table.count() == len(n)
-    some = sorted(n, key=lambda w: (-n[w], w))[::40]
-    token = np.concatenate([reader.tokens(w) for w in some])
-    total = defaultdict(set)
-    for w, c, x in zip(some, vocabulary.of[token].tolist(), vocabulary.log_share[token].tolist(), strict=True):
-        total[c].add(round(float(np.log(n[w] + 0.5) - x), 6))
-    assert all(len(x) == 1 for x in total.values())  # each word's share is its own count's
-    assert sum(np.exp(r.log_share) for r in vocabulary.table.collect()) + np.exp(vocabulary.unseen[1]) == pytest.approx(vocabulary.classes)
+    given = [(i, " ".join(f"a{x} b{x} c{x}" for x in r.integers(0, 30, 200))) for i in range(300)]
+    vocabulary, network = lm.fit(frame(spark, given))
+    got = lm.scores(frame(spark, given[:20]), model=(vocabulary, network)).collect()
+    plain = lm.Network(mass=vocabulary.cells.total)
+    before = lm.scores(frame(spark, given[:20]), model=(vocabulary, plain)).collect()
+    assert np.mean([x.mean_log_prob for x in got]) > np.mean([x.mean_log_prob for x in before]) + 0.5
 
 
 # ---- 10 ----
