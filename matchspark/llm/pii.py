@@ -23,7 +23,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import hex_sha256, materialize
+from ._shared import free, hex_sha256, materialize
 from ._spans import in_order, let, of_kind, overlap, spans, told, unmarked
 
 LEAST, WORDS, BEFORE, ROUNDS = 0.5, 64, 32, 50
@@ -38,9 +38,10 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 TEL = r"(?<![0-9+(])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"
 LABELERS = ("strict", "gazetteer", "context", "beside", "length")
-DOMAINS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "it", "nl", "eu", "ch", "at", "us", "ca")
-COUNTRIES = ("1", "33", "34", "39", "41", "43", "44", "49", "31", "32", "351", "52", "54", "55", "61", "81", "86", "91")
-IBANS = ("DE", "FR", "ES", "GB", "IT", "NL", "CH", "AT", "BE", "PT", "SE", "DK", "NO", "FI", "PL")
+# Top-level domains, telephone country codes, and countries whose accounts have an IBAN.
+DOMAINS = tuple("com org net edu gov mil int info biz io dev app ai co me tv xyz online site shop de fr es uk it nl eu ch at be pt se dk no fi pl cz sk hu ro bg gr ie lu ru ua tr us ca mx br ar cl jp cn in kr au nz za".split())
+COUNTRIES = tuple("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 54 55 56 57 60 61 62 63 64 65 66 81 82 84 86 90 91 92 98 212 213 216 234 351 352 353 354 358 359 370 371 372 380 385 386 420 421 852 886 966 971 972".split())
+IBANS = tuple("AD AE AL AT AZ BA BE BG BH BR CH CR CY CZ DE DK DO EE ES FI FO FR GB GE GI GL GR GT HR HU IE IL IS IT JO KW KZ LB LI LT LU LV MC MD ME MK MR MT MU NL NO PK PL PS PT QA RO RS SA SE SI SK SM TN TR UA VG XK".split())
 CUES = {
     "email": "e-?mail|mail|contact|write|correo|courriel|kontakt",
     "ip": "ip|host|address|server|login|from",
@@ -63,6 +64,14 @@ def luhn(number: Column) -> Column:
     return F.aggregate(F.filter(each, lambda x: x.isNotNull()), F.lit(0), lambda a, x: a + x) % 10 == 0
 
 
+def mod97(account: Column) -> Column:
+    """Whether an IBAN without spaces has 15 to 34 characters and the right check digits: its letters as numbers, the first four characters last, leave 1 over 97."""
+    each = F.split(F.concat(F.substr(account, F.lit(5)), F.substring(account, 1, 4)), "")
+    value = lambda c: F.when(c.between("0", "9"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
+    rest = F.aggregate(F.filter(each, lambda c: c != ""), F.lit(0), lambda a, c: (a * F.when(c.between("0", "9"), 10).otherwise(100) + value(c)) % 97)
+    return F.length(account).between(15, 34) & (rest == 1)
+
+
 def base(text: Column) -> Column:
     """The spans of the four plain kinds, unordered, in an unmarked text."""
     part = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})|0+"
@@ -85,7 +94,7 @@ def votes(s: Column, before: Column, after: Column) -> list[Column]:
     yes = lambda c: F.when(c, 1).otherwise(0)
     strict = F.when(kind == "email", yes(v.rlike(r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9.-]+\.[A-Za-z]{2,24}$")))
     strict = strict.when(kind == "ip", yes(v.rlike(r"^(?:0|[1-9][0-9]*)(?:\.(?:0|[1-9][0-9]*)){3}$"))).when(kind == "card", yes(v.rlike(r"^[0-9]{4}(?:[ -]?[0-9]{4}){2,3}[0-9]{0,3}$|^3[47]")))
-    strict = strict.when(kind == "phone", yes(v.rlike(r"^\+[1-9]"))).when(kind == "ssn", yes(~v.rlike("^(?:000|666|9)|-00-|-0000$"))).when(kind == "tel", yes(v.rlike(r"^\(?[2-9]"))).otherwise(yes(F.length(F.replace(v, F.lit(" "))).between(15, 34)))
+    strict = strict.when(kind == "phone", yes(v.rlike(r"^\+[1-9]"))).when(kind == "ssn", yes(~v.rlike("^(?:000|666|9)|-00-|-0000$"))).when(kind == "tel", yes(v.rlike(r"^\(?[2-9]"))).otherwise(yes(mod97(F.replace(v, F.lit(" ")))))
     listed = F.when(kind == "email", F.when(F.lower(F.regexp_extract(v, r"\.([A-Za-z]+)$", 1)).isin(*DOMAINS), 1))
     listed = listed.when(kind == "ip", yes(~v.rlike(r"^(?:0|10|127|22[4-9]|2[3-5][0-9])\.|^192\.168\.|^172\.(?:1[6-9]|2[0-9]|3[01])\."))).when(kind == "card", yes(v.rlike("^(?:4|5[1-5]|2[2-7]|3[47]|6)")))
     listed = listed.when(kind == "phone", F.when(v.rlike(rf"^\+(?:{'|'.join(COUNTRIES)})"), 1)).when(kind == "iban", yes(F.substring(v, 1, 2).isin(*IBANS)))
@@ -125,8 +134,9 @@ def candidates(text: Column) -> Column:
 def fit(counts: list[tuple[str, str, int, int, int]]) -> dict[str, dict]:
     """The model of each kind from (kind, votes, word, long, n): log-odds of its prior and of each feature's value.
 
-    EM: given a candidate's class, labelers err independently; those that don't vote are left out. Reliabilities stay
-    between 0.55 and 0.99, which keeps the classes from changing places.
+    EM: given a candidate's class, labelers err independently; those that don't vote are left out. Each reliability has
+    the weight of five votes, four of them right, as its prior. A yes never speaks against a candidate, which keeps the classes
+    from changing places; a labeler that always says yes says nothing.
     """
     by = defaultdict(lambda: defaultdict(int))
     for kind, votes_, _, _, n in counts:
@@ -141,12 +151,13 @@ def fit(counts: list[tuple[str, str, int, int, int]]) -> dict[str, dict]:
                 like = {y: math.prod(hit[y][i] if v == str(y) else 1 - hit[y][i] for i, v in enumerate(p) if v != "-") for y in (1, 0)}
                 sure[p] = prior * like[1] / (prior * like[1] + (1 - prior) * like[0])
             total = sum(patterns.values())
-            prior = min(0.95, max(0.05, sum(sure[p] * n for p, n in patterns.items()) / total))
+            prior = (sum(sure[p] * n for p, n in patterns.items()) + 1) / (total + 2)
             for i in range(len(LABELERS)):
                 for y in (1, 0):
                     weight = {p: n * (sure[p] if y else 1 - sure[p]) for p, n in patterns.items() if p[i] != "-"}
                     right = sum(w for p, w in weight.items() if p[i] == str(y))
-                    hit[y][i] = min(0.99, max(0.55, (right + 4) / (sum(weight.values()) + 5)))
+                    hit[y][i] = (right + 4) / (sum(weight.values()) + 5)
+                hit[0][i] = max(hit[0][i], 1 - hit[1][i])
         seen = defaultdict(lambda: [1.0, 1.0])
         whole = [2.0, 2.0]
         for k, votes_, word, long, n in counts:
@@ -161,9 +172,9 @@ def fit(counts: list[tuple[str, str, int, int, int]]) -> dict[str, dict]:
     return model
 
 
-def learn(found: DataFrame) -> dict[str, dict]:
-    """fit() on the counts of all candidates in a column `spans`."""
-    each = found.select(F.explode("spans").alias("s")).select("s.kind", "s.votes", "s.word", "s.long")
+def learn(found: DataFrame, column: str = "spans") -> dict[str, dict]:
+    """fit() on the counts of all candidates in a column."""
+    each = found.select(F.explode(column).alias("s")).select("s.kind", "s.votes", "s.word", "s.long")
     return fit([tuple(r) for r in each.groupBy("kind", "votes", "word", "long").agg(F.count("*").alias("n")).collect()])
 
 
@@ -194,8 +205,10 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
-    """docs with every span replaced by its kind in brackets, and length_col, if given, by the new text's code points. Overlapping spans count as the first one. Texts without spans stay as they are. Two scans, no shuffle."""
-    model = learn(docs.select(candidates(F.col(text_col)).alias("spans")))
+    """docs with every span replaced by its kind in brackets, and length_col, if given, by the new text's code points. Overlapping spans count as the first one. Texts without spans stay as they are, null ones too. The rows are written once with their candidates, so texts are searched once; no shuffle of texts."""
+    names, own = docs.columns, free("_spans", docs.columns)
+    held = materialize(docs.withColumn(own, candidates(F.col(text_col))))
+    model = learn(held, own)
 
     def cut(t: Column) -> Column:
         start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -206,8 +219,8 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = Non
             return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["start"] >= a["at"], more).otherwise(a["out"]).alias("out"))
 
         join = lambda a: F.concat(a["out"], F.substr(t, a["at"] + 1, F.length(t) - a["at"]))
-        return let(accepted(candidates(t), model), lambda s: F.when(F.size(s) == 0, t).otherwise(F.aggregate(s, start, step, join)))
+        return let(accepted(F.col(own), model), lambda s: F.when(F.size(s) == 0, t).otherwise(F.aggregate(s, start, step, join)))
 
     new = F.when(F.col(text_col).isNotNull(), let(F.col(text_col), cut))
-    out = docs.withColumn(text_col, new)
+    out = held.withColumn(text_col, new).select(*names)
     return out.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType)) if length_col else out

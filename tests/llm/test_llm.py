@@ -322,14 +322,55 @@ def test_redaction(edge, empty):
     assert out[10][1] == len(out[10][0])
     assert out[1][0] is None
     assert out[6][0] == LONG
+    assert pii.redact(edge).columns == edge.columns
+    assert {x.spans for x in pii.redact(edge).collect()} == {"x"}
     assert pii.redact(empty).count() == 0
 
 
 def test_reliabilities_are_learned():
-    counts = [("email", "11111", 1, 1, 80), ("email", "00000", 2, 1, 20), ("email", "01111", 1, 1, 5)]
-    m = pii.fit(counts)["email"]
-    assert m["prior"] > 0
-    assert m["odds"]["01"] > m["odds"]["00"]
+    """EM finds the reliabilities that votes were drawn with, and their share of true candidates."""
+    r = np.random.default_rng(8)
+    right, share, n = {1: (0.95, 0.8, 0.7, 0.9, 0.65), 0: (0.85, 0.75, 0.9, 0.6, 0.8)}, 0.6, 40_000
+    truth = r.random(n) < share
+    votes_ = Counter()
+    for t in truth.tolist():
+        votes_["".join("-" if i == 1 and r.random() < 0.3 else str(int(t if r.random() < right[int(t)][i] else not t)) for i in range(5))] += 1
+    m = pii.fit([("email", v, 0, 0, k) for v, k in votes_.items()])["email"]
+    for i, name in enumerate(pii.LABELERS):
+        assert m["reliability"][name] == pytest.approx((right[1][i], right[0][i]), abs=0.03)
+    assert 1 / (1 + np.exp(-m["prior"])) == pytest.approx(share, abs=0.03)
+
+
+def brute_added(t):
+    """Candidates of the looser patterns that overlap no base span."""
+    own = [tuple(map(int, x.split(":")[1:])) for x in filter(None, personal(t).split(","))]
+    found = re.finditer(rf"(?P<iban>{pii.IBAN})|(?P<ssn>{pii.SSN})|(?P<tel>{pii.TEL})", t)
+    return [(m.lastgroup, m.start(), m.end()) for m in found if not any(m.start() < e and s < m.end() for s, e in own)]
+
+
+def test_added_spans(spark):
+    """Looser candidates are those of the plain patterns; good ones are added, bad ones are not."""
+    account = lambda country, digits_: f"{country}{98 - int(digits_ + ''.join(str(ord(c) - 55) for c in country) + '00') % 97:02d}{digits_}"
+    r = np.random.default_rng(6)
+    number = lambda n: "".join(str(x) for x in r.integers(0, 10, n))
+    good, bad = [], []
+    for _ in range(60):
+        good += [f"é my iban {account('DE', number(18))} is here", f"his social security 2{number(2)}-4{number(1)}-1{number(3)} number", f"please call (415) 5{number(2)}-{number(4)} now"]
+        bad += [f"serial DE00{number(16)}", f"invoice 000-00-{number(4)}x", f"version 0{number(2)}.1{number(2)}.{number(4)}"]
+    given = list(enumerate([*good, *bad, None, "", "a@b.co (415) 555-2671"]))
+    df = frame(spark, given)
+    found = {r.id: [(s.kind, s.start, s.end) for s in r.s if not s.base] for r in df.select(F.col("doc_id").alias("id"), pii.candidates(F.col("text")).alias("s")).collect()}
+    assert found == {i: brute_added(t or "") for i, t in given}
+    out = {r.doc_id: [s for s in r.spans if not s.base] for r in pii.personal_data(df).collect()}
+    assert sum(len(out[i]) == 1 for i in range(len(good))) >= 0.95 * len(good)
+    assert sum(len(out[len(good) + i]) for i in range(len(bad))) <= 0.05 * len(bad)
+    assert all(s.p >= pii.LEAST for x in out.values() for s in x)
+
+
+def test_check_digits(spark):
+    given = {"GB82WEST12345698765432": True, "DE89370400440532013000": True, "FR1420041010050500013M02606": True, "DE88370400440532013000": False, "GB82": False, "": False}
+    df = spark.createDataFrame([(x,) for x in given], "v string")
+    assert {x.v: bool(x.ok) for x in df.select("v", pii.mod97(F.col("v")).alias("ok")).collect()} == given
 
 
 def test_copied_secrets_are_told_apart(spark):
