@@ -8,13 +8,15 @@ minhashes, and two sets of similarity 0.8 share none with a probability of 0.000
 Sets that are equal form one class first, by a 128-bit digest. A half-band that only one class has is dropped before
 pairs are formed. Then:
 
-* in each table's bucket the class with the most shared half-bands is the centre, and every member is held against it;
-  links are confirmed on the full sets, and classes that they connect get one label,
-* where a bucket has members of different labels, those pairs are compared by their minhashes too, and the ones that agree
-  in percent - 20 of 100 places (four deviations below) are confirmed on the full sets. Buckets of up to SMALL members
-  name such pairs one by one; larger ones are gathered by their centre's label and compared in blocks.
+* in each table's bucket the class with the most shared half-bands is the centre, and every member is held against it on the
+  full sets; a centre's set goes to shares of about SHARE members, not to each pair. Classes that the links connect get one
+  label,
+* buckets that have members of different labels are gathered by their centre's label. Members of other labels (strays) are
+  compared with all members, in blocks: by their minhashes first, and those that agree in percent - 20 of 100 places (four
+  deviations below) with any other label's on the full sets.
 
-So a group of copies costs one comparison a member, only what its centre doesn't link costs more, and nothing is capped.
+So a group of copies costs one comparison a member, only what its centre doesn't link costs more, and nothing is capped. Where
+a key is hot, adaptive execution splits the join's partition: the other side has an exchange of its own for that.
 
 Null doc_ids don't name a component; a component of such rows only has a null component_id and its rows are kept. Rows that
 share a doc_id are classed by their own texts. deduplicate() keeps one row of each component by a key of id and text, so null
@@ -31,9 +33,9 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ._kernel import Words, mix, numbers, shingles
-from ._shared import materialize, small_batches, texts
+from ._shared import apart, materialize, release, small_batches, texts
 
-HALF, ROWS, SMALL, BLOCK, LEEWAY = 11, 3, 16, 512, 0.2
+HALF, ROWS, SHARE, BLOCK, LEEWAY = 11, 3, 256, 512, 0.2
 
 
 class Sets:
@@ -97,7 +99,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     def star(both: DataFrame, large: bool) -> DataFrame:
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        near = both.join(low, "a")
+        near = both.join(apart(low, "a"), "a")
         out = near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")) if large else near.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
         return out.where("a != b")
 
@@ -111,7 +113,8 @@ def components(edges: DataFrame) -> DataFrame:
     was = None
     while now.get("n") and now != was:
         big = star(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), True)  # as many rows as edges: the small star's distinct does for both
-        was, (edges, now) = now, written(star(big.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), False))
+        old, was, (edges, now) = edges, now, written(star(big.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), False))
+        release(old)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
@@ -149,57 +152,82 @@ def pairs_of(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.binary()) for i in (0, 1)], ["a", "b"])
 
 
-def small_bucket_pairs(members: DataFrame, half: int, least: float) -> DataFrame:
-    """Pairs (a, b) of classes that share a bucket and differ in label, each from the first table that they share, whose minhashes agree in `least` of the places.
+def lists_of(column) -> list[np.ndarray]:
+    """Each row's sorted hashes."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat, offsets = lists.flatten().to_numpy().view(np.uint64), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
+    return [flat[x:y] for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
 
-    members: (key, t, cls, comp, sig, halves), SMALL rows a key at most.
-    """
+
+def centre_links(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) of pairs (centre, cls, share). A centre's set is sent once to each of its shares."""
+    members = pairs.join(items, "cls").select("centre", "share", F.lit(False).alias("first"), "cls", "items")
+    centres = pairs.select("centre", "share").distinct().join(items.withColumnRenamed("cls", "centre"), "centre").select("centre", "share", F.lit(True).alias("first"), F.col("centre").alias("cls"), "items")
+    dealt = centres.union(members).repartition("centre", "share").sortWithinPartitions("centre", "share", F.desc("first"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["key"]):
-            cls, comp = objects(group.column("cls")), objects(group.column("comp"))
-            sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(cls), -1)
-            halves = np.zeros((len(cls), 2 * half), np.int64)  # 0: a half-band that no other class has
-            for row, list_ in zip(halves, group.column("halves").to_pylist(), strict=True):
-                row[[x["i"] for x in list_]] = [x["h"] for x in list_]
-            t = group.column("t")[0].as_py()
+        held, own = None, None
+        for b in batches:
             found = []
-            for x in range(len(cls)):
-                for y in range(x):
-                    if comp[x] != comp[y] and (sig[x] == sig[y]).mean() >= least:
-                        same = (halves[x] == halves[y]) & (halves[x] != 0)
-                        if same[:half].argmax() * half + same[half:].argmax() == t:
-                            found.append(ordered(cls[x], cls[y]))
+            for first, cls, x in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), lists_of(b.column(4)), strict=True):
+                if first:
+                    held, own = cls, x.copy()
+                    continue
+                common = np.count_nonzero(own[np.minimum(np.searchsorted(own, x), len(own) - 1)] == x)
+                if 100 * common >= percent * (len(own) + len(x) - common):
+                    found.append(ordered(held, cls))
             if found:
                 yield pairs_of(found)
 
-    dealt = members.select("key", "t", "cls", "comp", "sig", "halves").repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
+def in_blocks(members: DataFrame, names: list[str]) -> DataFrame:
+    """Members (major, cls, comp, ...) in blocks (major, p, q) of about BLOCK strays and BLOCK members, sorted; a stray stands in its blocks as `first`, too. No task holds a group; what moves grows with n * strays / BLOCK."""
+    size = members.groupBy("major").agg(F.count("*").alias("n"), F.count_if(F.expr("comp != major")).alias("s")).where("s > 0")
+    sized = members.join(apart(size, "major"), "major").withColumns({"nq": F.ceil(F.col("n") / BLOCK), "np": F.ceil(F.col("s") / BLOCK), "stray": F.expr("comp != major"), "own": F.xxhash64("cls")})
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    as_all = sized.select(*names, F.lit(False).alias("first"), F.explode(upto("np")).alias("p"), F.pmod("own", "nq").alias("q"))
+    as_stray = sized.where("stray").select(*names, F.lit(True).alias("first"), F.pmod("own", "np").alias("p"), F.explode(upto("nq")).alias("q"))
+    return as_all.union(as_stray).repartition("major", "p", "q").sortWithinPartitions("major", "p", "q")
+
+
+def opened(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Classes, whether they stand as strays, labels as numbers, and minhashes of a block."""
+    cls, first = objects(group.column("cls")), np.array(group.column("first").to_pylist(), bool)
+    label = np.unique(objects(group.column("comp")), return_inverse=True)[1]
+    return cls, first, label, np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(cls), -1)
+
+
+def alike(members: DataFrame, least: float) -> DataFrame:
+    """(major, cls) of members (major, cls, comp, sig) whose minhashes agree with a stray's, or a stray's with theirs, across labels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, ["major", "p", "q"]):
+            cls, first, label, sig = opened(group)
+            rest, seen = np.flatnonzero(~first), np.zeros(len(cls), bool)
+            for x in np.flatnonzero(first):
+                near = rest[((sig[rest] == sig[x]).mean(1) >= least) & (label[rest] != label[x])]
+                seen[near] = True
+                seen[x] |= len(near) > 0
+            some = np.flatnonzero(seen)
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array([group.column("major")[0].as_py()] * len(some), pa.binary()), pa.array(cls[some].tolist(), pa.binary())], ["major", "cls"])
+
+    return in_blocks(members, ["major", "cls", "comp", "sig"]).mapInArrow(run, "major binary, cls binary").distinct()
+
+
 def group_links(members: DataFrame, least: float, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between classes of different labels that met in large buckets.
+    """Confirmed links (a, b) between classes of different labels that met in a bucket.
 
-    members: (major, cls, comp, sig, items), a class once a major label. Classes of other labels (strays) are held against
-    all members, in blocks of about BLOCK by BLOCK with the members' full sets, so no task holds a group, and what moves
-    grows with n * strays / BLOCK. A pair whose labels are linked in the block already needs no second look.
+    members: (major, cls, comp, sig, items), a class once a major label. A pair whose labels are linked in the block already
+    needs no second look.
     """
-    size = members.groupBy("major").agg(F.count("*").alias("n"), F.count_if(F.expr("comp != major")).alias("s"))
-    sized = members.join(size, "major").withColumns({"nq": F.ceil(F.col("n") / BLOCK), "np": F.ceil(F.col("s") / BLOCK), "stray": F.expr("comp != major"), "own": F.xxhash64("cls")})
-    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
-    names = ["major", "cls", "comp", "sig", "items"]
-    as_all = sized.where("s > 0").select(*names, F.lit(False).alias("first"), F.explode(upto("np")).alias("p"), F.pmod("own", "nq").alias("q"))
-    as_stray = sized.where("stray").select(*names, F.lit(True).alias("first"), F.pmod("own", "np").alias("p"), F.explode(upto("nq")).alias("q"))
-    dealt = as_all.union(as_stray).repartition("major", "p", "q").sortWithinPartitions("major", "p", "q")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["major", "p", "q"]):
-            cls, first = objects(group.column("cls")), np.array(group.column("first").to_pylist(), bool)
-            label = np.unique(objects(group.column("comp")), return_inverse=True)[1]
-            sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(cls), -1)
-            lists = group.column("items").combine_chunks()
-            flat, offsets = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
-            items = [flat[offsets[i] : offsets[i + 1]].view(np.uint64) for i in range(len(cls))]
+            cls, first, label, sig = opened(group)
+            items = lists_of(group.column("items"))
             root = list(range(label.max() + 1))
 
             def find(x, root=root):
@@ -227,7 +255,7 @@ def group_links(members: DataFrame, least: float, percent: int) -> DataFrame:
             if found:
                 yield pairs_of(found)
 
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+    return in_blocks(members, ["major", "cls", "comp", "sig", "items"]).mapInArrow(run, "a binary, b binary").distinct()
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -243,13 +271,14 @@ def labelled(docs: DataFrame, k: int, percent: int, half: int, rows: int) -> Dat
     each = classes.select("cls", "sig", F.posexplode("halves").alias("i", "h"))
     shared = each.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     halves = F.array_sort(F.collect_list(F.struct("i", "h")))
-    kept = materialize(each.join(shared, "h").groupBy("cls").agg(F.first("sig").alias("sig"), F.sum("n").alias("pop"), halves.alias("halves")))
+    kept = materialize(each.join(apart(shared, "h"), "h").groupBy("cls").agg(F.first("sig").alias("sig"), F.sum("n").alias("pop"), halves.alias("halves")))
 
-    # each bucket's most popular class is held against the others
+    # each bucket's most popular class is held against the others; a class that shares many half-bands is one of many
     tables = tables_of(kept, half)
     buckets = tables.groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("pop", "cls")).alias("centre")).where("n > 1").select("key", F.col("centre.cls").alias("centre"))
-    buckets = materialize(tables.join(buckets, "key"))
-    pairs = buckets.where("cls != centre").select(F.greatest("cls", "centre").alias("a"), F.least("cls", "centre").alias("b")).distinct()
+    buckets = materialize(tables.join(apart(buckets, "key"), "key"))
+    share = F.pmod(F.xxhash64("cls"), F.ceil(F.col("pop") / (2 * SHARE)))
+    pairs = buckets.where("cls != centre").select("centre", "cls", share.alias("share")).distinct()
 
     # full sets of the classes in any bucket
     inside = buckets.select("cls").distinct()
@@ -257,29 +286,25 @@ def labelled(docs: DataFrame, k: int, percent: int, half: int, rows: int) -> Dat
     again = docs.join(one_row.select("id").distinct(), "id", "left_semi").union(docs.where("id IS NULL"))
     items = materialize(full_sets(again, k).dropDuplicates(["cls"]).join(inside, "cls", "left_semi"))
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(items.select(F.col("cls").alias("a"), F.col("items").alias("x")), "a").join(items.select(F.col("cls").alias("b"), F.col("items").alias("y")), "b")
-        common = F.size(F.array_intersect("x", "y"))
-        return both.where(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b")
-
-    links = materialize(confirmed(pairs))
+    links = materialize(centre_links(pairs, items, percent))
     comp = materialize(components(links))
 
     # members of one bucket with different labels
-    marked = buckets.join(comp, F.col("cls") == F.col("node"), "left").select("key", "t", "cls", "centre", F.coalesce("comp", "cls").alias("comp"))
-    open_ = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.expr("cls = centre"), F.col("comp"))).alias("major"), F.count("*").alias("n")).where("lo < hi AND n > 2").select("key", "major", "n")
-    unsettled = materialize(marked.join(open_, "key").select("key", "t", "cls", "comp", "major", "n"))
-    known = kept.select("cls", "sig", "halves")
-    few = confirmed(small_bucket_pairs(unsettled.where(F.col("n") <= SMALL).join(known, "cls"), half, percent / 100 - LEEWAY))
-    large = unsettled.where(F.col("n") > SMALL).select("major", "cls", "comp").distinct()
-    many = group_links(large.join(known.select("cls", "sig"), "cls").join(items, "cls"), percent / 100 - LEEWAY, percent)
+    marked = buckets.join(comp, F.col("cls") == F.col("node"), "left").select("key", "cls", "centre", F.coalesce("comp", "cls").alias("comp"))
+    open_ = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.expr("cls = centre"), F.col("comp"))).alias("major"), F.count("*").alias("n")).where("lo < hi AND n > 2").select("key", "major")
+    unsettled = marked.join(apart(open_, "key"), "key").select("major", "cls", "comp").distinct()
+    least = percent / 100 - LEEWAY
+    members = materialize(unsettled.join(kept.select("cls", "sig"), "cls").select("major", "cls", "comp", "sig"))
+    members = materialize(members.join(alike(members, least), ["major", "cls"], "left_semi"))
+    more = group_links(members.join(items, "cls"), least, percent)
     stars = comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))  # what the first links connect, in fewer steps
-    comp = materialize(components(stars.union(few).union(many)))
+    comp = materialize(components(stars.union(more)))
+    release(kept, buckets, items, links, members)
 
     # back to rows: the smallest id of all classes of a component
     named = sets.groupBy("cls").agg(F.min("id").alias("low")).join(comp, F.col("cls") == F.col("node"), "left").select("cls", "low", F.coalesce("comp", "cls").alias("comp"))
-    named = named.join(named.groupBy("comp").agg(F.min("low").alias("component")), "comp").select("cls", "comp", "component")
-    return seen.select("id", "key", "n", "cls").join(named, "cls", "left").select("id", "key", "n", "comp", "component")
+    named = named.join(apart(named.groupBy("comp").agg(F.min("low").alias("component")), "comp"), "comp").select("cls", "comp", "component")
+    return seen.select("id", "key", "n", "cls").join(apart(named, "cls"), "cls", "left").select("id", "key", "n", "comp", "component")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 80, half: int = HALF, rows: int = ROWS) -> DataFrame:
