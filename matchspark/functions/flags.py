@@ -13,7 +13,7 @@ FRESH = ("produce", "meat", "seafood", "deli", "bakery", "prepared foods", "flor
 FLAVOR = ("vanilla", "chocolate", "strawberry", "lemon", "lime", "orange", "apple", "grape", "cherry", "mango", "blueberry", "raspberry", "peach", "mint", "cinnamon", "caramel", "honey", "maple", "coconut", "pumpkin", "berry", "watermelon", "tropical")
 FORM = ("ground", "whole bean", "instant", "k cup", "k cups", "pods", "liquid", "powder", "spray", "stick", "wipes", "lotion", "cream", "shampoo", "conditioner", "bar", "frozen", "fresh", "dried", "chips", "crackers", "cookies")
 BRAND_POINTS = {"exact": 0.35, "alias": 0.30, "private_label_compatible": 0.18, "unknown": 0.05}
-SIZE_POINTS = {"same": 0.30, "near": 0.22, "multipack": 0.18, "unknown": 0.06}
+SIZE_POINTS = {"same": 0.30, "multipack": 0.22, "near": 0.18, "unknown": 0.06}
 
 
 def hints(words) -> Column:
@@ -24,14 +24,33 @@ def has_any(tokens: Column, words) -> Column:
     return F.arrays_overlap(tokens, hints(words))
 
 
-def private_label(store: Column, brand: Column, flag: Column, tags: Column, a_brands=PRIVATE_A, b_brands=PRIVATE_B) -> Column:
-    a = F.coalesce(flag, F.lit(False)) | brand.isin(*a_brands)
-    b = F.array_contains(tags, "wegmans_brand") | brand.isin(*b_brands) | F.startswith(brand, F.lit("wegmans "))
-    return F.when(store == "A", a).otherwise(F.coalesce(b, F.lit(False)))
+def food_like(category_tokens: Column) -> Column:
+    return has_any(category_tokens, FOOD)
+
+
+def fresh_like(category_tokens: Column) -> Column:
+    return has_any(category_tokens, FRESH)
+
+
+def said_yes(c: Column) -> Column:
+    """A text column that says true, 1 or yes."""
+    return F.coalesce(F.lower(F.trim(c)).isin("true", "1", "yes"), F.lit(False))
+
+
+def organic(name_tokens: Column, tag_tokens: Column, flag: Column) -> Column:
+    return said_yes(flag) | F.array_contains(name_tokens, "organic") | F.coalesce(F.array_contains(tag_tokens, "organic"), F.lit(False))
+
+
+def private_label(store: Column, brand: Column, flag: Column, tags: Column, a_brands=PRIVATE_A, b_brands=PRIVATE_B, b_tag: str = "wegmans_brand", b_prefix: str = "wegmans") -> Column:
+    """Of a record of A by its flag or brand, of B by its tags or brand."""
+    a = said_yes(flag) | brand.isin(*a_brands)
+    tagged = F.exists(tags, lambda t: F.lower(t) == b_tag)
+    return F.when(store == "A", a).otherwise(F.coalesce(tagged, F.lit(False)) | brand.isin(*b_brands) | F.startswith(brand, F.lit(b_prefix)))
 
 
 def brand_relation(raw_a: Column, a: Column, pl_a: Column, raw_b: Column, b: Column, pl_b: Column) -> Column:
-    return F.when((a == "") | (b == ""), F.when(pl_a & pl_b, "private_label_compatible").otherwise("unknown")).when(raw_a == raw_b, "exact").when(a == b, "alias").when(pl_a & pl_b, "private_label_compatible").otherwise("conflict")
+    """raw: normalised brands; a and b: canonical ones."""
+    return F.when((raw_a == "") | (raw_b == ""), "unknown").when(raw_a == raw_b, "exact").when((a != "") & (a == b), "alias").when(pl_a & pl_b, "private_label_compatible").otherwise("conflict")
 
 
 def hint_conflict(a: Column, b: Column, words) -> Column:
@@ -62,9 +81,9 @@ def final_score(brand: Column, unit: Column, total: Column, fuzzy: Column, cosin
     return F.when(vetoes != "", 0.0).otherwise(F.bround(whole, 4))
 
 
-def route(brand: Column, unit: Column, total: Column, fuzzy: Column, cosine: Column, vetoes: Column, source: Column) -> Column:
+def route(brand: Column, unit: Column, fuzzy: Column, cosine: Column, vetoes: Column, source: Column) -> Column:
     known = brand.isin("exact", "alias")
     sized = unit.isin("same", "multipack") & known & (fuzzy >= 92)
     close = (F.coalesce(cosine, F.lit(0.0)) >= 0.6) & known & unit.isin("same", "near", "multipack")
-    noise = (source == "T3") & (F.coalesce(cosine, F.lit(0.0)) < 0.45) & ~brand.isin("exact", "alias", "private_label_compatible") & ~unit.isin("same", "near", "multipack") & ~total.isin("same", "near", "multipack")
-    return F.when(vetoes != "", "drop").when(sized | close, "auto_accept").when(noise, "drop").otherwise("llm")
+    noise = (source == "T3") & (F.coalesce(cosine, F.lit(0.0)) < 0.45) & ~brand.isin("exact", "alias", "private_label_compatible") & ~unit.isin("same", "near", "multipack")
+    return F.when(vetoes != "", "drop").when(sized | close, "auto_accept").when(noise, "drop").otherwise("route_to_llm")

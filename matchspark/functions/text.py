@@ -13,6 +13,12 @@ BRAND_ALIASES = {
     "rachael ray nutrish": "nutrish", "clif bar": "clif", "coors light": "coors", "voortman bakery": "voortman",
     "mt olive pickle": "mt olive", "suave essentials": "suave", "c4 energy": "c4",
 }
+#: Words of store brands that names are compared without, in the order they are taken out.
+PRIVATE_TERMS = ("great value", "marketside", "bettergoods", "equate", "sam s choice", "walmart", "wegmans", "wegmans organic", "wegmans brand")
+#: Shapes that size parsers stumble on.
+MULTIPACK = r"(?i)\(?\s*[0-9]+\s*(?:pack|pk|count|ct|x)\s*\)?|[0-9]+\s*[- ]?(?:pack|pk)\b"
+LEADING_DECIMAL = r"(?i)(?<![0-9])\.[0-9]+\s*(?:l|liter|litre|ml|kg|g|oz)\b"
+TRIVIAL_COUNT = r"(?i)^\s*1\s*(?:ct|count|each|pc|piece|pk|pack)\s*$"
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl"}
 
 
@@ -60,6 +66,14 @@ def url_segments_slug(url: Column) -> Column:
     return F.lower(F.array_join(F.transform(kept, lambda x: F.regexp_replace(x, "^[0-9]+[-_]", "")), "-"))
 
 
+def url_readable_slug(url: Column) -> Column:
+    """Path segments but for shop words, each without a leading number, bare numbers left out, joined by hyphens; escapes decoded."""
+    path = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z]+://[^/?#]*([^?#]*)", 1)
+    kept = F.transform(F.filter(F.split(path, "/"), lambda x: (x != "") & ~x.isin("ip", "shop", "product")), lambda x: F.regexp_replace(x, "^[0-9]+[-_]", ""))
+    slug = F.array_join(F.filter(kept, lambda x: (x != "") & ~x.rlike("^[0-9]+$")), "-")
+    return F.coalesce(F.try_url_decode(F.replace(slug, F.lit("+"), F.lit("%2B"))), slug)
+
+
 def codes(c: Column, low: int = 12, high: int = 14) -> Column:
     """Distinct runs of low to high digits that stand alone, without leading zeros."""
     found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(rf"\b([0-9]{{{low},{high}}})\b"), F.lit(1))
@@ -74,6 +88,29 @@ def without_terms(c: Column, terms: list[str]) -> Column:
     return F.trim(F.regexp_replace(c, " +", " "))
 
 
+def category_path(*levels: Column) -> Column:
+    """Normalised levels, missing ones left out, joined by a space."""
+    return F.concat_ws(" ", *[F.nullif(normalize(c), F.lit("")) for c in levels])
+
+
+def match_text(*columns: Column) -> Column:
+    """Columns joined by a space, null as empty, normalised."""
+    return normalize(F.concat_ws(" ", *columns))
+
+
+def shape(c: Column, pattern: str) -> Column:
+    """Whether a text that isn't missing has a shape such as MULTIPACK."""
+    return ~is_missing(c) & c.rlike(pattern)
+
+
+def parse_bool(c: Column) -> Column:
+    return F.coalesce(F.lower(F.trim(c.cast("string"))).isin("true", "1", "yes"), F.lit(False))
+
+
+def slug_tokens(slug: Column) -> Column:
+    return tokens(normalize(F.replace(slug, F.lit("-"), F.lit(" "))), 1)
+
+
 def clean_lines(c: Column) -> Column:
     """Ligatures spelled out, spaces and blank lines collapsed."""
     for k, v in LIGATURES.items():

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import flags, size, text
+from ..sources.tables import RAW
 
 PRIVATE = ("brand 3", "brand 7", "brand 11")
 
@@ -57,4 +58,45 @@ def sides(spark: SparkSession, sf_dir: str, *columns: str) -> tuple[DataFrame, D
     return tuple(rows.where(F.col("store_id") == s).select(*[F.col(c).alias(f"{c}_{s.lower()}") for c in ("item_id", *columns)]) for s in "AB")
 
 
-__all__ = ["flags", "head", "hygiene", "nested", "parts", "sides", "tag_list"]
+#: Fields of the JSON columns.
+INFO = ("category_0", "category_1", "category_2", "category_3", "storage_type", "packaging_description", "ingredients", "planogram")
+SIZING = ("unit_price", "uom_unit_price", "billed_by_weight", "ordered_by_weight", "avg_size_per_piece", "size_user_friendly", "size_from_unit_price", "uom_billed_by_weight", "uom_ordered_by_weight", "num_servings_nutrition", "serving_size_nutrition", "serving_size_uom_nutrition")
+
+
+def canonical(raw: DataFrame, store: str, ordinal: str = "ordinal") -> DataFrame:
+    """The canonical products of a raw catalog (RAW's text columns, and an ordinal that says which row came first); absent columns are null."""
+    lacking = [c for c in RAW if c not in raw.columns]
+    rows = hygiene(raw.withColumns({c: F.lit(None).cast("string") for c in lacking}) if lacking else raw, "item_id", ordinal, store)
+    rows = nested(nested(rows, "item_info", list(INFO), "info"), "sizing_comp", list(SIZING), "sizing")
+    c = F.col
+    levels = [c(f"info_category_{i}") for i in range(4)]
+    name = text.first_present(c("name_clean"), c("name"))
+    listed = F.coalesce(tag_list(c("tags")), F.array().cast("array<string>"))
+    rows = rows.withColumns({
+        "tags_list": listed, "tags_norm": F.array_join(F.array_sort(F.transform(listed, text.normalize)), " "), "name_clean_str": F.coalesce(name, F.lit("")), "name_norm": text.normalize(name),
+        "brand_norm": text.normalize(c("brand_raw")), "url_slug_norm": text.normalize(F.replace(text.url_readable_slug(c("url")), F.lit("-"), F.lit(" "))), "category_path_norm": text.category_path(*levels),
+        "description_norm": text.normalize(c("description")), "ingredients_norm": text.normalize(c("info_ingredients")),
+        "size_text": F.coalesce(text.first_present(c("sizing_size_user_friendly"), c("size_raw"), c("name")), F.lit("")),
+    })
+    rows = rows.withColumns({"brand_canonical": text.canonical_brand(c("brand_norm")), "_size": size.parse_size(c("size_text"))}).select("*", "_size.*").drop("_size")
+    names, tags, path = text.tokens(c("name_norm")), text.tokens(c("tags_norm")), text.tokens(c("category_path_norm"))
+    rows = rows.withColumns({
+        "is_private_label_inferred": flags.private_label(c("store_id"), c("brand_norm"), c("is_private_label"), c("tags_list")), "is_food_like": flags.food_like(path), "is_fresh_like": flags.fresh_like(path),
+        "is_organic_inferred": flags.organic(names, tags, c("is_organic")),
+        "retrieval_text": F.trim(F.concat_ws(" ", "name_norm", "brand_canonical", "url_slug_norm", "category_path_norm", F.substring("description_norm", 1, 200))),
+    })
+    return rows.withColumn("embedding_text", embedding_text())
+
+
+def embedding_text() -> Column:
+    """Labelled fields of a canonical product, missing ones left out; the flags always stand."""
+    c = F.col
+    part = lambda label, x: F.when(x != "", F.concat(F.lit(label), x))
+    flag = lambda label, x: F.concat(F.lit(f"{label}="), F.when(x, "yes").otherwise("no"))
+    said = F.concat(F.lit("flags: "), F.concat_ws(" ", flag("private_label", c("is_private_label_inferred")), flag("organic", c("is_organic_inferred")), flag("food", c("is_food_like")), flag("fresh", c("is_fresh_like"))))
+    unit = F.when(c("dim") == "volume", "fl_oz").when(c("dim") == "weight", "oz").otherwise("count")
+    return F.concat_ws(
+        " | ", part("", text.present(F.trim(c("name")))), part("brand: ", c("brand_canonical")), part("size: ", c("size_text")), F.when(c("unit_value").isNotNull(), F.concat(F.lit("unit: "), text.number_text(c("unit_value")), F.lit(" "), unit)),
+        F.when(c("pack_count") > 1, F.concat(F.lit("pack: "), c("pack_count").cast("string"))), part("category: ", c("category_path_norm")), part("url_slug: ", c("url_slug_norm")), said,
+        part("ingredients: ", F.substring("ingredients_norm", 1, 300)), part("description: ", F.substring("description_norm", 1, 200)),
+    )

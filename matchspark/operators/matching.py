@@ -29,6 +29,36 @@ def private_label_pairs(a: DataFrame, b: DataFrame, bridge: DataFrame) -> DataFr
     return left.join(bridge.select("a_category", "b_category").distinct(), "a_category").join(right, ["bucket", "b_category"]).select("item_id_a", "item_id_b").distinct()
 
 
+def named_pairs(left: DataFrame, right: DataFrame, keys: list[str], k: int, least: float = 0.0, scorer=None) -> DataFrame:
+    """(item_id_a, item_id_b, score): each record's k best partners of its blocks by fuzzy ratio of names, then id.
+
+    left and right: rows (keys..., item_id_a, name_a) and (keys..., item_id_b, name_b). Of records of B that share block and
+    name only the first k can be among anybody's best, and a block's pairs of names are scored once, so a block gives at most
+    k pairs a record and name, not all pairs.
+    """
+    few = top(right.distinct(), [*keys, "name_b"], ["item_id_b"], k).drop("rank")
+    names = left.select(*keys, "name_a").distinct().join(few, keys)
+    scored = with_ratio(names, "name_a", "name_b", "score", scorer).where(F.col("score") >= least)
+    best = top(scored, [*keys, "name_a"], [F.desc("score"), "item_id_b"], k).drop("rank", "name_b")
+    found = left.distinct().join(best, [*keys, "name_a"]).groupBy("item_id_a", "item_id_b").agg(F.max("score").alias("score"))
+    return top(found, ["item_id_a"], [F.desc("score"), "item_id_b"], k).drop("rank")
+
+
+def strict_block_top(a: DataFrame, b: DataFrame, k: int = 3, scorer=None) -> DataFrame:
+    """strict_block_pairs()'s k best a record, with their fuzzy ratios."""
+    left = block_keys(a.where("brand_a != ''"), ["unit_bucket_a", "total_bucket_a"], ["item_id_a", F.col("name_norm_a").alias("name_a"), F.col("brand_a").alias("brand")])
+    right = block_keys(b.where("brand_b != ''"), ["unit_bucket_b", "total_bucket_b"], ["item_id_b", F.col("name_norm_b").alias("name_b"), F.col("brand_b").alias("brand")])
+    return named_pairs(left, right, ["brand", "bucket"], k, scorer=scorer)
+
+
+def private_label_top(a: DataFrame, b: DataFrame, bridge: DataFrame, k: int = 5, least: float = 60.0, support: int = 10, share: float = 0.10, scorer=None) -> DataFrame:
+    """private_label_pairs()'s k best a record from a fuzzy ratio of `least`, over the bridge's entries of enough support and share."""
+    sure = bridge.where((F.col("support") >= support) & (F.col("share") >= share)).select("a_category", "b_category").distinct()
+    left = block_keys(a.where("is_private_label_a"), ["unit_bucket_a", "total_bucket_a"], ["item_id_a", F.col("name_norm_a").alias("name_a"), F.col("category_norm_a").alias("a_category")]).join(sure, "a_category").drop("a_category")
+    right = block_keys(b.where("is_private_label_b"), ["unit_bucket_b", "total_bucket_b"], ["item_id_b", F.col("name_norm_b").alias("name_b"), F.col("category_norm_b").alias("b_category")])
+    return named_pairs(left, right, ["b_category", "bucket"], k, least, scorer)
+
+
 def top(df: DataFrame, by: list, order: list, k: int) -> DataFrame:
     """The first k rows of each group, numbered in `rank`."""
     return df.withColumn("rank", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= k)
@@ -81,7 +111,7 @@ def features(pairs: DataFrame, fuzzy_score: Column | None = None) -> DataFrame:
         "category_jaccard": F.bround(text.jaccard(text.tokens(F.col("category_norm_a")), text.tokens(F.col("category_norm_b"))), 6),
         "flavor_conflict": flags.hint_conflict(ta, tb, flags.FLAVOR),
         "form_conflict": flags.hint_conflict(ta, tb, flags.FORM),
-        "organic": flags.organic_relation(F.array_contains(ta, "organic"), F.array_contains(tb, "organic"), F.lit(True)),
+        "organic": flags.organic_relation(F.array_contains(ta, "organic"), F.array_contains(tb, "organic"), flags.food_like(text.tokens(F.col("category_norm_a"))) | flags.food_like(text.tokens(F.col("category_norm_b")))),
     })
     c = F.col
     out = out.withColumn("veto_reasons", flags.veto_reasons(c("brand_relation"), c("unit_relation"), c("flavor_conflict"), c("form_conflict"), c("organic")))
@@ -89,7 +119,7 @@ def features(pairs: DataFrame, fuzzy_score: Column | None = None) -> DataFrame:
     out = out.withColumn("fuzzy", how_alike)
     return out.withColumns({
         "final_score": flags.final_score(c("brand_relation"), c("unit_relation"), c("total_relation"), c("fuzzy"), c("cosine"), c("category_jaccard"), c("veto_reasons")),
-        "route": flags.route(c("brand_relation"), c("unit_relation"), c("total_relation"), c("fuzzy"), c("cosine"), c("veto_reasons"), c("source")),
+        "route": flags.route(c("brand_relation"), c("unit_relation"), c("fuzzy"), c("cosine"), c("veto_reasons"), c("source")),
     })
 
 

@@ -94,17 +94,25 @@ def url_slug(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.url_slug(F.col("url")).alias("slug"), text.url_segments_slug(F.col("url")).alias("segments"))
 
 
-@query(f"""WITH t AS (SELECT d.doc_id, {toks(norm("substr(d.text, 1, 200)"))} AS a, {toks(norm("d.source || ' ' || d.lang"))} AS b, d.text FROM documents d)
-  SELECT doc_id, {jac("a", "b")} AS jaccard, len({toks(norm("text"))}) AS n_tokens FROM t""")
+@query(f"""WITH t AS (SELECT d.doc_id, {toks(norm("d.text"))} AS a, {toks(norm("d.source || ' ' || d.lang"))} AS b, d.text FROM documents d)
+  SELECT doc_id, {jac("a", "b")} AS jaccard, len(a) AS n_tokens FROM t""")
 def token_jaccard(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    a, b = text.tokens(text.normalize(F.substring("text", 1, 200))), text.tokens(text.normalize(F.concat_ws(" ", "source", "lang")))
+    a, b = text.tokens(text.normalize(F.col("text"))), text.tokens(text.normalize(F.concat_ws(" ", "source", "lang")))
     return d.select("doc_id", F.bround(text.jaccard(a, b), 6).alias("jaccard"), F.size(text.tokens(text.normalize(F.col("text")))).cast("long").alias("n_tokens"))
 
 
-@query(f"WITH {PARTS} SELECT item_id, trim(regexp_replace(replace(replace(name_norm, 'small', ' '), 'red', ' '), ' +', ' ', 'g')) AS stripped FROM parts")
+#: The operator's terms stand in a name made of the part's, for the table has none of them.
+TERMED = "name_norm || CASE p_partkey % 5 WHEN 0 THEN ' great value' WHEN 1 THEN ' wegmans organic' WHEN 2 THEN ' equate' ELSE '' END"
+
+
+@query(f"""WITH t AS (SELECT p_partkey::VARCHAR AS item_id, {TERMED} AS n FROM (SELECT *, {norm("p_name")} AS name_norm FROM part))
+  SELECT item_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(n, 'great value', ' '), 'marketside', ' '), 'bettergoods', ' '), 'equate', ' '), 'sam s choice', ' '), 'walmart', ' '), 'wegmans', ' '), ' +', ' ', 'g')) AS stripped FROM t""")
 def strip_terms(spark, sf_dir):
-    return catalog.parts(spark, sf_dir).select("item_id", text.without_terms(F.col("name_norm"), ["small", "red"]).alias("stripped"))
+    """Later terms that hold an earlier one find nothing: what stands of them is what the earlier one leaves."""
+    key = F.col("item_id").cast("long") % 5
+    named = F.concat("name_norm", F.when(key == 0, " great value").when(key == 1, " wegmans organic").when(key == 2, " equate").otherwise(""))
+    return catalog.parts(spark, sf_dir).select("item_id", text.without_terms(named, text.PRIVATE_TERMS).alias("stripped"))
 
 
 CODES_SQL = r"list_distinct(list_transform(regexp_extract_all({c}, '\b([0-9]{{4,16}})\b', 1), lambda x: CASE WHEN ltrim(x, '0') = '' THEN '0' ELSE ltrim(x, '0') END))"
@@ -147,8 +155,8 @@ def parse_size(spark, sf_dir):
 
 
 RELATION = """CASE WHEN {a}.dim <> {b}.dim THEN 'conflict_dim' WHEN {a}.{v} / {b}.{v} BETWEEN 0.92 AND 1.08 THEN 'same' WHEN {a}.{v} / {b}.{v} BETWEEN 0.85 AND 1.15 THEN 'near'
-  WHEN abs({a}.{v} / {b}.{v} - round_even({a}.{v} / {b}.{v}, 0)) <= 0.1 AND round_even({a}.{v} / {b}.{v}, 0) BETWEEN 2 AND 24 THEN 'multipack'
-  WHEN abs({b}.{v} / {a}.{v} - round_even({b}.{v} / {a}.{v}, 0)) <= 0.1 AND round_even({b}.{v} / {a}.{v}, 0) BETWEEN 2 AND 24 THEN 'multipack' ELSE 'off' END"""
+  WHEN abs({a}.{v} / {b}.{v} - round_even({a}.{v} / {b}.{v}, 0)) < 0.1 AND round_even({a}.{v} / {b}.{v}, 0) BETWEEN 2 AND 24 THEN 'multipack'
+  WHEN abs({b}.{v} / {a}.{v} - round_even({b}.{v} / {a}.{v}, 0)) < 0.1 AND round_even({b}.{v} / {a}.{v}, 0) BETWEEN 2 AND 24 THEN 'multipack' ELSE 'off' END"""
 UNIT, TOTAL = RELATION.format(a="a", b="b", v="unit_value"), RELATION.format(a="a", b="b", v="total_value")
 PACKS = "CASE WHEN a.pack_count = b.pack_count THEN 'same' WHEN a.pack_count = 1 OR b.pack_count = 1 THEN 'multipack' ELSE 'off' END"
 
@@ -192,11 +200,10 @@ def semi_filter(spark, sf_dir):
     return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders").where("o_totalprice > 400000"), F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey", "c_name")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_totalprice > 300000)")
 def cache_misses(spark, sf_dir):
-    from ..sources.tables import misses
-
-    return misses(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    bank = table(spark, sf_dir, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
+    return tables.misses(table(spark, sf_dir, "customer").select("c_custkey"), bank, "c_custkey")
 
 
 # ---- joins ----
@@ -260,12 +267,18 @@ def private_label_pairs(spark, sf_dir):
     return matching.private_label_pairs(a, b, bridge(spark, sf_dir))
 
 
-@query(f"""WITH c AS (SELECT doc_id, unnest({CODES_SQL.format(c='text')}) AS code FROM documents), p AS (SELECT page_id, unnest({CODES_SQL.format(c='url')}) AS code FROM pages)
-  SELECT DISTINCT c.doc_id, p.page_id, c.code FROM c JOIN p ON c.code = p.code""")
+@query("""WITH o AS (SELECT o_orderkey, 'order 00' || lpad(((o_orderkey * 7919) % 1000 + 100000000000)::VARCHAR, 12, '0') || ' of ' || o_orderstatus AS t FROM orders),
+  c AS (SELECT c_custkey, 'customer ' || lpad((c_custkey + 100000000000)::VARCHAR, 13, '0') AS t FROM customer),
+  oc AS (SELECT o_orderkey, unnest(list_distinct(list_transform(regexp_extract_all(t, '\\b([0-9]{12,14})\\b', 1), lambda x: ltrim(x, '0')))) AS code FROM o),
+  cc AS (SELECT c_custkey, unnest(list_distinct(list_transform(regexp_extract_all(t, '\\b([0-9]{12,14})\\b', 1), lambda x: ltrim(x, '0')))) AS code FROM c)
+  SELECT DISTINCT o_orderkey, c_custkey, code FROM oc JOIN cc USING (code)""")
 def code_join(spark, sf_dir):
-    c = table(spark, sf_dir, "documents").select("doc_id", F.explode(text.codes(F.col("text"), 4, 16)).alias("code"))
-    p = table(spark, sf_dir, "pages").select("page_id", F.explode(text.codes(F.col("url"), 4, 16)).alias("code"))
-    return c.join(p, "code").select("doc_id", "page_id", "code").distinct()
+    """Product codes of 12 to 14 digits, written with leading zeros on both sides: the tables hold none, so texts of keys stand for them."""
+    code = lambda n, width: F.lpad((n + 100_000_000_000).cast("string"), width, "0")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("order 00"), code((F.col("o_orderkey") * 7919) % 1000, 12), F.lit(" of "), "o_orderstatus").alias("t"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("customer "), code(F.col("c_custkey"), 13)).alias("t"))
+    left, right = (d.select(k, F.explode(text.codes(F.col("t"))).alias("code")) for d, k in ((o, "o_orderkey"), (c, "c_custkey")))
+    return left.join(right, "code").select("o_orderkey", "c_custkey", "code").distinct()
 
 
 @query(f"""WITH {PARTS}, scored AS (SELECT x.item_id_a, x.item_id_b, {jac(toks("a.name_norm"), toks("b.name_norm"))} AS jaccard FROM blocked x JOIN parts a ON a.item_id = x.item_id_a JOIN parts b ON b.item_id = x.item_id_b)
@@ -320,28 +333,28 @@ GRAMS = """padded AS (SELECT id, text, unnest(list_transform(list_filter(string_
 
 @query(f"""WITH corpus AS (SELECT p_partkey::VARCHAR AS id, {norm("p_name || ' ' || p_type")} AS text, p_partkey % 2 AS side FROM part), {GRAMS},
   dots AS (SELECT a.id AS id_a, b.id AS id_b, round(sum(a.w * b.w), 6) AS score FROM v a JOIN v b USING (term) WHERE a.id::BIGINT % 2 = 0 AND b.id::BIGINT % 2 = 1 GROUP BY 1, 2)
-  SELECT id_a, rank, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY score DESC, id_b) AS rank FROM dots WHERE score >= 0.4) WHERE rank <= 20""")
+  SELECT id_a, id_b, rank, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY score DESC, id_b) AS rank FROM dots WHERE score >= 0.4) WHERE rank <= 20""")
 def tfidf_topk(spark, sf_dir):
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), text.normalize(F.concat_ws(" ", "p_name", "p_type")).alias("text"), (F.col("p_partkey") % 2).alias("side"))
     found = similarity.sparse_topk(p.where("side = 0").select("id", "text"), p.where("side = 1").select("id", "text"))
-    return found.select("id_a", "rank", F.round("score", 4).alias("score"))
+    return found.select("id_a", "id_b", "rank", F.round("score", 4).alias("score"))
 
 
 @query("""WITH q AS (SELECT a.vec_id AS id_a, b.vec_id AS id_b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM embeddings a JOIN embeddings b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
-  SELECT id_a, rank, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY score DESC, id_b) AS rank FROM q) WHERE rank <= 5""")
+  SELECT id_a, id_b, rank, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY score DESC, id_b) AS rank FROM q) WHERE rank <= 5""")
 def dense_topk(spark, sf_dir):
     """Queries are the rows whose id is divisible by 20, against all other rows."""
     e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
     found = similarity.dense_topk(e.where("id % 20 = 0"), e, 6).where("id_a != id_b").drop("rank")
-    return matching.top(found, ["id_a"], [F.desc("score"), "id_b"], 5).select("id_a", "rank", F.round("score", 4).alias("score"))
+    return matching.top(found, ["id_a"], [F.desc("score"), "id_b"], 5).select("id_a", "id_b", "rank", F.round("score", 4).alias("score"))
 
 
 @query("""WITH q AS (SELECT a.vec_id AS id_a, b.vec_id AS id_b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id % 20 = 0)
-  SELECT id_a, rank, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY score DESC, id_b) AS rank FROM q WHERE score >= 0.2) WHERE rank <= 3""")
+  SELECT id_a, id_b, rank, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY score DESC, id_b) AS rank FROM q WHERE score >= 0.2) WHERE rank <= 3""")
 def typed_knn(spark, sf_dir):
     """Nearest entries of the query's own type, from a least score."""
     e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
-    return similarity.dense_topk(e.where("id % 20 = 0"), e, 3, 0.2, same="label").select("id_a", "rank", F.round("score", 4).alias("score"))
+    return similarity.dense_topk(e.where("id % 20 = 0"), e, 3, 0.2, same="label").select("id_a", "id_b", "rank", F.round("score", 4).alias("score"))
 
 
 @query("SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS cosine FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")
@@ -368,9 +381,9 @@ def candidate_union(spark, sf_dir):
 SCORED = f"""{PARTS}, rel AS (SELECT x.*, a.name_norm AS na, b.name_norm AS nb, CASE WHEN a.brand_norm = b.brand_norm THEN 'exact' WHEN a.brand = b.brand THEN 'alias' ELSE 'conflict' END AS brand_relation, {UNIT} AS unit_relation, {TOTAL} AS total_relation,
     {jac(toks("a.name_norm"), toks("b.name_norm"))} AS nj, {jac(toks("a.category_norm"), toks("b.category_norm"))} AS cj FROM blocked x JOIN sized a ON a.item_id = x.item_id_a JOIN sized b ON b.item_id = x.item_id_b),
   vetoed AS (SELECT *, concat_ws(',', CASE WHEN brand_relation = 'conflict' THEN 'brand_conflict' END, CASE WHEN unit_relation = 'conflict_dim' THEN 'size_dim_conflict' END) AS veto_reasons FROM rel),
-  points AS (SELECT *, CASE brand_relation WHEN 'exact' THEN 0.35::DOUBLE WHEN 'alias' THEN 0.3 ELSE 0 END AS bp, CASE unit_relation WHEN 'same' THEN 0.3::DOUBLE WHEN 'near' THEN 0.22 WHEN 'multipack' THEN 0.18 ELSE 0 END AS up FROM vetoed),
+  points AS (SELECT *, CASE brand_relation WHEN 'exact' THEN 0.35::DOUBLE WHEN 'alias' THEN 0.3 ELSE 0 END AS bp, CASE unit_relation WHEN 'same' THEN 0.3::DOUBLE WHEN 'multipack' THEN 0.22 WHEN 'near' THEN 0.18 ELSE 0 END AS up FROM vetoed),
   scored AS (SELECT *, CASE WHEN veto_reasons <> '' THEN 0 ELSE round_even(bp + (CASE WHEN total_relation = 'same' THEN greatest(up, 0.22) ELSE up END) + 0.18::DOUBLE * (100 * nj) / 100 + 0.12::DOUBLE * 0 + 0.05::DOUBLE * cj, 4) END AS final_score,
-    CASE WHEN veto_reasons <> '' THEN 'drop' WHEN brand_relation IN ('exact', 'alias') AND unit_relation IN ('same', 'multipack') AND 100 * nj >= 92 THEN 'auto_accept' ELSE 'llm' END AS route FROM points)"""
+    CASE WHEN veto_reasons <> '' THEN 'drop' WHEN brand_relation IN ('exact', 'alias') AND unit_relation IN ('same', 'multipack') AND 100 * nj >= 92 THEN 'auto_accept' ELSE 'route_to_llm' END AS route FROM points)"""
 
 
 @query(f"WITH {SCORED} SELECT item_id_a, item_id_b, brand_relation, unit_relation, total_relation, nj AS name_jaccard, cj AS category_jaccard, veto_reasons, round(final_score, 3) AS final_score, route FROM scored")
@@ -391,9 +404,9 @@ def score_bands(spark, sf_dir):
     return matching.features(blocked(spark, sf_dir)).groupBy("route").agg(F.count("*").alias("pairs"), F.count_if(f >= 95).alias("b95"), F.count_if((f >= 85) & (f < 95)).alias("b85"), F.count_if((f >= 70) & (f < 85)).alias("b70"), F.count_if(f < 70).alias("low"))
 
 
-@query(f"WITH {SCORED}, c AS (SELECT count(*) FILTER (route = 'auto_accept') AS auto, count(*) FILTER (route = 'llm') AS llm FROM scored) SELECT auto, llm, floor(auto * 0.05::DOUBLE)::BIGINT AS projected_auto, floor(llm * 0.15::DOUBLE)::BIGINT AS projected_llm, floor(auto * 0.05::DOUBLE) + floor(llm * 0.15::DOUBLE) >= 4000 AS go FROM c")
+@query(f"WITH {SCORED}, c AS (SELECT count(*) FILTER (route = 'auto_accept') AS auto, count(*) FILTER (route = 'route_to_llm') AS llm FROM scored) SELECT auto, llm, floor(auto * 0.05::DOUBLE)::BIGINT AS projected_auto, floor(llm * 0.15::DOUBLE)::BIGINT AS projected_llm, floor(auto * 0.05::DOUBLE) + floor(llm * 0.15::DOUBLE) >= 4000 AS go FROM c")
 def projection(spark, sf_dir):
-    c = matching.features(blocked(spark, sf_dir)).agg(F.count_if(F.col("route") == "auto_accept").alias("auto"), F.count_if(F.col("route") == "llm").alias("llm"))
+    c = matching.features(blocked(spark, sf_dir)).agg(F.count_if(F.col("route") == "auto_accept").alias("auto"), F.count_if(F.col("route") == "route_to_llm").alias("llm"))
     c = c.withColumns({"projected_auto": F.floor(F.col("auto") * 0.05), "projected_llm": F.floor(F.col("llm") * 0.15)})
     return c.withColumn("go", F.col("projected_auto") + F.col("projected_llm") >= 4000)
 
@@ -427,15 +440,28 @@ def staged(df: DataFrame) -> DataFrame:
 
 
 def candidates(spark, sf_dir):
-    """candidate_union's pairs (its SQL holds blocks and bridge only) and the TF-IDF join's, with their cosines."""
+    """The best of blocks and of the category map by fuzzy ratio, and the TF-IDF join's pairs with their cosines."""
     a, b = catalog.sides(spark, sf_dir, *SIDE)
     a, b = (d.select(F.col(f"item_id_{s}").alias("id"), F.trim(F.concat_ws(" ", f"name_norm_{s}", f"brand_norm_{s}", f"category_norm_{s}")).alias("text")) for d, s in ((a, "a"), (b, "b")))
     found = similarity.sparse_topk(a, b).select(F.col("id_a").alias("item_id_a"), F.col("id_b").alias("item_id_b"), F.lit("T3").alias("source"), (100 * F.col("score")).alias("score"), F.col("score").alias("cosine"))
-    one = strict_block_pairs(spark, sf_dir).withColumns({"source": F.lit("T1"), "score": F.lit(90.0)})
-    two = private_label_pairs(spark, sf_dir).withColumns({"source": F.lit("T5"), "score": F.lit(60.0)})
+    a, b = catalog.sides(spark, sf_dir, *SIDE)
+    one = matching.strict_block_top(a, b).withColumn("source", F.lit("T1"))
+    two = matching.private_label_top(a, b, bridge(spark, sf_dir)).withColumn("source", F.lit("T5"))
     return matching.union_candidates(found, one, two)
 
 
+@query()
+def strict_block_top(spark, sf_dir):
+    """The three best partners of a block by fuzzy ratio."""
+    return matching.strict_block_top(*catalog.sides(spark, sf_dir, *SIDE))
+
+
+@query()
+def private_label_top(spark, sf_dir):
+    """The five best private-label partners over the sure entries of the category map, from a fuzzy ratio of 60."""
+    return matching.private_label_top(*catalog.sides(spark, sf_dir, *SIDE), bridge(spark, sf_dir))
+
+
 @query()
 def match_catalogs(spark, sf_dir):
     """All candidate sources, fuzzy scores, routes, the offline judge for what is in doubt, and one partner a record."""
@@ -444,7 +470,7 @@ def match_catalogs(spark, sf_dir):
     pairs = matching.with_ratio(pairs, "name_norm_a", "name_norm_b", "ratio")
     scored = staged(matching.features(pairs, F.col("ratio")).select("item_id_a", "item_id_b", "source", "score", "final_score", "route"))
     auto = scored.where("route = 'auto_accept'").withColumn("confidence", F.lit(None).cast("double"))
-    judged = knowledge.judge(scored.where("route = 'llm'")).where("is_match AND confidence >= 0.85").select("item_id_a", "item_id_b", "confidence")
+    judged = knowledge.judge(scored.where("route = 'route_to_llm'")).where("is_match AND confidence >= 0.85").select("item_id_a", "item_id_b", "confidence")
     return matching.select_one(auto.unionByName(scored.join(judged, ["item_id_a", "item_id_b"]))).select("item_id_a", "item_id_b", "source", "final_score", "confidence")
 
 
