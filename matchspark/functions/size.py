@@ -126,7 +126,7 @@ def probe_size(text: Column) -> Column:
 
 def percent(part: Column, whole: Column) -> Column:
     """One decimal and a percent sign; 0.0% of nothing."""
-    return F.when(whole > 0, F.concat(F.format_number(F.bround(100 * part / whole, 1), "0.0"), F.lit("%"))).otherwise("0.0%")
+    return F.when(whole > 0, F.format_string("%.1f%%", 100.0 * part / whole)).otherwise("0.0%")
 
 
 def size_relation(dim_a: Column, a: Column, dim_b: Column, b: Column) -> Column:

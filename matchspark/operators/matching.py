@@ -89,6 +89,19 @@ def similar_names(b: DataFrame, a: DataFrame, least: float = 90) -> DataFrame:
     return top(scored, ["b_brand"], [F.desc("score"), "a_brand"], 1).drop("rank")
 
 
+def flag_pairs(rows: DataFrame, pairs: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """rows with a flag: whether their keys are among the pairs'."""
+    return rows.join(pairs.select(*keys).distinct().withColumn(name, F.lit(True)), keys, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+
+
+def best_overlap(a: DataFrame, b: DataFrame, block: str) -> DataFrame:
+    """(id_a, id_b, score): of (id_a, block, t_a) and (id_b, block, t_b), each record's partner in its block whose tokens have the highest Jaccard similarity above 0, ties by id. Equal token sets are compared once."""
+    few = top(b, [block, "t_b"], ["id_b"], 1).drop("rank")
+    pairs = a.select(block, "t_a").distinct().join(few, block).withColumn("score", F.bround(text.jaccard(F.col("t_a"), F.col("t_b")), 6)).where("score > 0")
+    best = top(pairs, [block, "t_a"], [F.desc("score"), "id_b"], 1)
+    return a.join(best, [block, "t_a"]).select("id_a", "id_b", "score")
+
+
 def union_candidates(*sources: DataFrame) -> DataFrame:
     """One row a pair from rows (item_id_a, item_id_b, source, score, ...): sources sorted and joined by +, the highest score and features."""
     rows = sources[0]

@@ -65,13 +65,17 @@ def sparse_topk(a: DataFrame, b: DataFrame, k: int = 20, floor: float = 0.4, **h
     return a.select(F.col("id").alias("id_a"), F.col("text").alias("text_a")).join(best, "text_a").select("id_a", "id_b", "score", "rank")
 
 
-def weighted_texts(texts: DataFrame, min_df: int = 2, max_share: float = 0.6, chars: bool = True) -> DataFrame:
-    """tfidf() of distinct texts (text, copies), counting each as often as it stands."""
+def weighted_texts(texts: DataFrame, min_df: int = 2, max_share: float = 0.6, chars: bool = True, per_kind: bool = False) -> DataFrame:
+    """tfidf() of distinct texts (text, copies), counting each as often as it stands. per_kind: words and characters have length 1 each before the text has."""
     grams = F.concat(word_grams(F.col("text")), char_grams(F.col("text"))) if chars else word_grams(F.col("text"))
     tf = texts.select("text", "copies", F.explode(grams).alias("term")).groupBy("text", "copies", "term").agg(F.count("*").alias("tf"))
     n = texts.agg(F.sum("copies").alias("n"))
     df = tf.groupBy("term").agg(F.sum("copies").alias("df")).join(F.broadcast(n)).where((F.col("df") >= min_df) & (F.col("df") <= max_share * F.col("n")))
     w = tf.join(df, "term").select("text", "term", ((1 + F.log("tf")) * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)).alias("w"))
+    if per_kind:
+        kind = F.substring("term", 1, 1)
+        each = w.groupBy("text", kind.alias("kind")).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("own"))
+        w = w.withColumn("kind", kind).join(each, ["text", "kind"]).select("text", "term", (F.col("w") / F.col("own")).alias("w"))
     norm = w.groupBy("text").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return w.join(norm, "text").select("text", "term", (F.col("w") / F.col("norm")).alias("weight"))
 

@@ -434,8 +434,11 @@ def judge_offline(spark, sf_dir):
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """df written to spark.checkpoint.dir, or a temporary folder where it is unset, and read again."""
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='matchspark-')}"
+    """df written to spark.checkpoint.dir, or a temporary folder where it is unset in a single process, and read again."""
+    folder, master = df.sparkSession.conf.get("spark.checkpoint.dir", None), df.sparkSession.conf.get("spark.master", "")
+    if not folder and master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = folder or f"file://{tempfile.mkdtemp(prefix='matchspark-')}"
     return tables.stage(df, f"{folder.rstrip('/')}/matchspark-{uuid.uuid4().hex}")
 
 
@@ -589,8 +592,12 @@ def embed_incrementally(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import audit_queries  # noqa: F401 - registers its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import audit_queries  # noqa: F401 - registers its own
+
     return dict(_SQL)
