@@ -296,13 +296,13 @@ TINY = f"""d AS (SELECT 'b' || item_id AS id, list_filter(regexp_extract_all(low
   s AS (SELECT a.id AS id_a, b.id AS id_b, round(sum(a.w * b.w), 6) AS score FROM v a JOIN v b USING (term) WHERE a.id[1] = 'd' AND b.id[1] = 'b' GROUP BY 1, 2)"""
 
 
-@query(f"WITH {TINY} SELECT id_a, id_b, rank, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY score DESC, id_b) AS rank FROM s WHERE score > 0) WHERE rank <= 3")
+@query(f"WITH {TINY} SELECT id_a, id_b, rank, score FROM (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY score DESC, id_b) AS rank FROM s WHERE score > 0) WHERE rank <= 3")
 def tiny_search(spark, sf_dir):
     """Rules looked up by words: queries are the documents whose id is divisible by 20."""
     plain = F.regexp_replace("text", "[^ -~]", " ")
     rules = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("id"), plain.alias("text"))
     asked_ = table(spark, sf_dir, "documents").where("doc_id % 20 = 0").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), plain.alias("text"))
-    return context.tiny_search(asked_, rules).select("id_a", "id_b", "rank", F.round("score", 4).alias("score"))
+    return context.tiny_search(asked_, rules).select("id_a", "id_b", "rank", "score")
 
 
 @query()
