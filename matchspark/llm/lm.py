@@ -221,6 +221,21 @@ class Reader:
         return np.stack([line[at + d] for d in range(-WINDOW, WINDOW + 1) if d]) // SUBS
 
 
+def narrow(place: np.ndarray) -> bytes:
+    """Whole numbers in three bytes each, or four where one needs them."""
+    wide = place.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return (wide if len(place) and place.max() >> 24 else wide[:, :3]).tobytes()
+
+
+def widened(data: bytes, n: int) -> np.ndarray:
+    """The n numbers of narrow()."""
+    out = np.zeros((n, 4), np.uint8)
+    if n:
+        width = len(data) // n
+        out[:, :width] = np.frombuffer(data, np.uint8).reshape(n, width)
+    return out.view("<u4").ravel()
+
+
 def blocks(rows: DataFrame) -> DataFrame:
     """(block, ids, sizes, places, words, counts) from rows (id, text): distinct words, and each word's place among them."""
     kind = rows.schema["id"].dataType.simpleString()
@@ -233,7 +248,7 @@ def blocks(rows: DataFrame) -> DataFrame:
             sizes = pa.array([[len(t) for t in found]], pa.list_(pa.int32()))
             lists = [pa.array([x], pa.list_(pa.int64())) for x in (words, counts)]
             own = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), pa.concat_arrays(ids))
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), own, sizes, pa.array([place.astype("<u4").tobytes()], pa.binary()), *lists], ["block", "ids", "sizes", "places", "words", "counts"])
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), own, sizes, pa.array([narrow(place)], pa.binary()), *lists], ["block", "ids", "sizes", "places", "words", "counts"])
 
         for b in small_batches(batches):
             new = [reader.tokens(t) for t in texts(b, "text")]
@@ -258,17 +273,18 @@ def vocabulary_of(held: DataFrame) -> Vocabulary:
 def laid_out(held: DataFrame, vocabulary: Vocabulary, own: bool) -> DataFrame:
     """(id, n, leaves, share, novel, h) of each document: two bytes for each word, and the sum of log p(word | leaf). own: the vocabulary counts these documents."""
     each = held.select("block", F.posexplode("words").alias("i", "word")).join(vocabulary.table, "word", "left")
-    known = each.groupBy("block").agg(F.collect_list("i").alias("i"), F.collect_list(F.coalesce("n", F.lit(0))).alias("n"))
-    both = held.select("block", "ids", "sizes", "places", "words").join(known, "block", "left").select("ids", "sizes", "places", "words", "i", "n", "block")
+    count = F.coalesce("n", F.lit(0)) * SLICES + F.col("word").bitwiseAND(SLICES - 1)  # all that a word's cell needs
+    known = each.groupBy("block").agg(F.collect_list("i").alias("i"), F.collect_list(count).alias("n"))
+    both = held.select("block", "ids", "sizes", "places").join(known, "block", "left").select("ids", "sizes", "places", "i", "n", "block")
     sent = held.sparkSession.sparkContext.broadcast(vocabulary.cells)
     kind = held.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in (batch.slice(x, 1) for x in range(batch.num_rows)):
-                sizes, words, i, n = (b.column(x).flatten().to_numpy() for x in (1, 3, 4, 5))
-                place = np.frombuffer(b.column(2)[0].as_py(), "<u4")
-                n = n[np.argsort(i)]
+                sizes, i, n = (b.column(x).flatten().to_numpy() for x in (1, 3, 4))
+                place = widened(b.column(2)[0].as_py(), int(sizes.sum()))
+                words, n = np.divmod(n[np.argsort(i)], SLICES)[::-1]
                 leaf, share = sent.value(words, n, own)
                 doc = np.repeat(np.arange(len(sizes)), sizes)
                 total = np.bincount(doc, weights=share[place], minlength=len(sizes))
