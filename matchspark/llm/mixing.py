@@ -68,10 +68,14 @@ def placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights
         rows = materialize(rows)
     cells = materialize(rows.groupBy(*CELL).agg(F.count("*").alias("n"), F.sum("_size").alias("size")))
     by = targets(cells.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size")), weights, share, most)
-    earlier = F.coalesce(F.sum("n").over(W.partitionBy("_source").orderBy("_level", "_salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    # rows before a cell: those of lower levels, and of the level's lower salts; some hundred levels a source, 4,096 salts a level
+    sum_before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    lower = cells.groupBy("_source", "_level").agg(F.sum("n").alias("n")).select(F.col("_source").alias("_s"), F.col("_level").alias("_l"), sum_before(W.partitionBy("_source").orderBy("_level")).alias("_lower"))
+    cells_ = cells.withColumn("_inside", sum_before(W.partitionBy("_source", "_level").orderBy("_salt"))).join(lower, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_level") == F.col("_l"))).drop("_s", "_l")
+    cells_ = cells_.withColumn("_earlier", F.col("_lower") + F.col("_inside"))
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce("source", F.lit("")))), 1, 4), 16, 10).cast("double") / 65536
     told = by.select("source", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)).alias("_rate"), offset.alias("_offset"))
-    told = cells.withColumn("_earlier", earlier).join(told, F.col("_source").eqNullSafe(F.col("source"))).select(F.col("_source").alias("_s"), F.col("_level").alias("_l"), F.col("_salt").alias("_h"), "_earlier", "_source_size", "_target", "_rate", "_offset")
+    told = cells_.join(told, F.col("_source").eqNullSafe(F.col("source"))).select(F.col("_source").alias("_s"), F.col("_level").alias("_l"), F.col("_salt").alias("_h"), "_earlier", "_source_size", "_target", "_rate", "_offset")
     told = materialize(told)
     ranked = rows.withColumn("_rank", F.row_number().over(W.partitionBy(*CELL).orderBy("_size", "_id", "_same", "_tie")))
     ranked = ranked.join(told, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_level") == F.col("_l")) & (F.col("_salt") == F.col("_h")))
