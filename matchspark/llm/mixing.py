@@ -23,7 +23,7 @@ from ._shared import WORD, before, free, materialize
 
 WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), 1.5, 2, "mix"
 FEW = 10_000  # sources whose targets one task may reckon; more are dealt in ranges, with the same result
-CELL = ["_source", "_level", "_salt"]
+CELL = ["_named", "_level", "_salt"]
 
 
 def words_in(text: Column) -> Column:
@@ -35,6 +35,15 @@ def level(size: Column) -> Column:
     return F.concat(F.lpad(F.length(F.bin(size)).cast("string"), 2, "0"), F.substring(F.bin(size), 1, 5))
 
 
+def named(source: Column) -> Column:
+    """A key without nulls, so that a window and a join on it share one exchange; unnamed() is its inverse."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+
+
+def unnamed(key: Column) -> Column:
+    return F.when(key != "", F.substring(key, F.lit(2), F.length(key)))
+
+
 def targets(by: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """(source, source_size, target) from one row (source, source_size) a source.
 
@@ -61,24 +70,22 @@ def placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights
     text = F.coalesce(F.col(text_col), F.lit(""))
     id_ = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     same = F.md5(text)
-    rows = docs.withColumns({"_source": F.col(source_col).cast("string"), "_size": words_in(F.col(text_col)), "_same": same})
+    rows = docs.withColumns({"_named": named(F.col(source_col).cast("string")), "_size": words_in(F.col(text_col)), "_same": same})
     rows = rows.withColumns({"_level": level(F.col("_size")), "_salt": F.substring(F.md5(F.concat_ws(":", id_, "_same")), 1, 3), "_id": id_, "_tie": F.xxhash64(*tie) if tie else F.lit(0)})
     rows = rows.select(*keep, *CELL, "_size", "_id", "_same", "_tie")
     if narrow:  # the texts are read once
         rows = materialize(rows)
     cells = materialize(rows.groupBy(*CELL).agg(F.count("*").alias("n"), F.sum("_size").alias("size")))
-    by = targets(cells.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size")), weights, share, most)
+    by = targets(cells.groupBy(unnamed(F.col("_named")).alias("source")).agg(F.sum("size").alias("source_size")), weights, share, most)
     # rows before a cell: those of lower levels, and of the level's lower salts; some hundred levels a source, 4,096 salts a level
     sum_before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    lower = cells.groupBy("_source", "_level").agg(F.sum("n").alias("n")).select(F.col("_source").alias("_s"), F.col("_level").alias("_l"), sum_before(W.partitionBy("_source").orderBy("_level")).alias("_lower"))
-    cells_ = cells.withColumn("_inside", sum_before(W.partitionBy("_source", "_level").orderBy("_salt"))).join(lower, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_level") == F.col("_l"))).drop("_s", "_l")
-    cells_ = cells_.withColumn("_earlier", F.col("_lower") + F.col("_inside"))
+    lower = cells.groupBy("_named", "_level").agg(F.sum("n").alias("n")).select("_named", "_level", sum_before(W.partitionBy("_named").orderBy("_level")).alias("_lower"))
+    inside = cells.withColumn("_inside", sum_before(W.partitionBy("_named", "_level").orderBy("_salt"))).join(lower, ["_named", "_level"])
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce("source", F.lit("")))), 1, 4), 16, 10).cast("double") / 65536
-    told = by.select("source", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)).alias("_rate"), offset.alias("_offset"))
-    told = cells_.join(told, F.col("_source").eqNullSafe(F.col("source"))).select(F.col("_source").alias("_s"), F.col("_level").alias("_l"), F.col("_salt").alias("_h"), "_earlier", "_source_size", "_target", "_rate", "_offset")
-    told = materialize(told)
-    ranked = rows.withColumn("_rank", F.row_number().over(W.partitionBy(*CELL).orderBy("_size", "_id", "_same", "_tie")))
-    ranked = ranked.join(told, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_level") == F.col("_l")) & (F.col("_salt") == F.col("_h")))
+    told = by.select(named(F.col("source")).alias("_named"), F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)).alias("_rate"), offset.alias("_offset"))
+    told = materialize(inside.join(told, "_named").select(*CELL, (F.col("_lower") + F.col("_inside")).alias("_earlier"), "_source", "_source_size", "_target", "_rate", "_offset"))
+    # the window and the join are on the same keys: rows move once
+    ranked = rows.withColumn("_rank", F.row_number().over(W.partitionBy(*CELL).orderBy("_size", "_id", "_same", "_tie"))).join(told, CELL)
     until = lambda k: F.floor(F.col("_offset") + F.col("_rate") * k)
     k = F.col("_earlier") + F.col("_rank")
     return ranked.withColumn("_copies", F.least(until(k) - until(k - 1), F.ceil("_rate")).cast("long"))
