@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
+from pyspark.sql import functions as F
 
 from matchspark.functions import text
-from matchspark.operators import analysis, matching
+from matchspark.operators import analysis, context, knowledge, matching, similarity
 
 
 def sides(spark, copies, seed=3):
@@ -63,3 +65,43 @@ def test_narrowed_pools_come_without_pairs(spark):
     plan = catalog_queries.narrowed_block(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
     assert plan.count("Join") == 2
+
+
+def test_dense_search_in_tiles_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "TILE", (3, 7))
+    v = np.random.default_rng(2).integers(-2, 3, size=(60, 3)).astype(float) + 0.5  # many ties
+    df = spark.createDataFrame([(i, x.tolist(), str(i % 4)) for i, x in enumerate(v)], "id long, vector array<double>, kind string")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    score = (u @ u.T).round(6)
+    for same in (None, "kind"):
+        got = {(r.id_a, r["rank"]): r.id_b for r in similarity.dense_topk(df.where("id < 8"), df, 4, 0.1, same=same).collect()}
+        fit = lambda i: [j for j in np.argsort(-score[i], kind="stable") if score[i, j] >= 0.1 and (not same or (i - j) % 4 == 0)][:4]
+        assert got == {(i, n + 1): j for i in range(8) for n, j in enumerate(fit(i))}
+
+
+def test_scores_are_held_a_tile_at_a_time(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    was = similarity.nearest
+
+    def nearest(q, v, *rest):
+        seen.add(int(len(q) > 3 or len(v) > 7))
+        return was(q, v, *rest)
+
+    monkeypatch.setattr(similarity, "TILE", (3, 7))
+    monkeypatch.setattr(similarity, "nearest", nearest)
+    df = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(50)], "id long, vector array<double>")
+    assert similarity.dense_topk(df, df, 2).count() == 100
+    assert seen.value == 0
+
+
+def test_equal_query_texts_are_searched_once(spark, monkeypatch):
+    asked, was = [], similarity.dense_topk
+    monkeypatch.setattr(similarity, "dense_topk", lambda queries, *rest: (asked.append(queries.count()), was(queries, *rest))[1])
+    rows = spark.createDataFrame([(str(i), "nut", "x", "1 oz", "bolt", "x", "1 oz", 1) for i in range(5)], "item_id_a string, name_a string, brand_a string, size_a string, name_b string, brand_b string, size_b string, rank int")
+    entries = spark.createDataFrame([("r1", "rule", "Rule", "nut bolt")], "id string, type string, title string, content string")
+    indexed = entries.join(knowledge.embed(entries.select(F.col("id").alias("hash"), F.col("content").alias("text"))).withColumnRenamed("hash", "id"), "id")
+    targets = spark.createDataFrame([], "a_category string, b_category string, share double, support long, rank int")
+    built = context.build(rows, indexed, targets, spark.createDataFrame([], "item_id_a string, category string")).collect()
+    assert asked == [1, 1, 1]
+    assert len(built) == 5
+    assert all([x.id for x in r.rules] == ["r1"] for r in built)
