@@ -130,22 +130,22 @@ def alias_checks(scored: DataFrame, aliases: dict[str, str] | None = None) -> Da
     return rows.groupBy("item_id_a").agg(F.array_sort(F.collect_list(one)).alias("aliases"))
 
 
-def build(scored: DataFrame, indexed: DataFrame, targets: DataFrame, categories: DataFrame, embedder=knowledge.embed, ks: dict[str, int] | None = None, aliases: dict[str, str] | None = None) -> DataFrame:
+def build(scored: DataFrame, indexed: DataFrame, targets: DataFrame, categories: DataFrame, embedder=knowledge.embed, ks: dict[str, int] | None = None, aliases: dict[str, str] | None = None, keep=lambda df: df) -> DataFrame:
     """The context of each record of A: (item_id_a, rules, accepted, rejected, aliases, bridge_hint).
 
     scored: as for query_text. indexed: entries with vectors. targets: sure_targets(). categories: (item_id_a, category). Each
-    type is searched on its own, so a common type can't crowd out another.
+    type is searched on its own, so a common type can't crowd out another, and each distinct query text once. keep: holds a table
+    that is read several times.
     """
     ks = ks or {"rule": 3, "accepted_example": 2, "rejected_example": 2}
-    asked = query_text(scored)
-    vectors = embedder(asked.select(F.md5("query").alias("hash"), F.col("query").alias("text")).dropDuplicates(["hash"]))
-    queries = asked.select("item_id_a", F.md5("query").alias("hash")).join(vectors, "hash").select(F.col("item_id_a").alias("id"), "vector")
-    out = asked.select("item_id_a")
-    told = indexed.select(F.col("id").alias("id_b"), "title", "content")
+    asked = keep(query_text(scored).withColumn("hash", F.sha2("query", 256)))
+    queries = keep(embedder(asked.select("hash", F.col("query").alias("text")).dropDuplicates(["hash"])).select(F.col("hash").alias("id"), "vector"))
+    told, contexts = indexed.select(F.col("id").alias("id_b"), "title", "content"), queries.select(F.col("id").alias("hash"))
     for kind, k in ks.items():
         found = similarity.dense_topk(queries, indexed.where(F.col("type") == kind).select("id", "vector"), k, 0.0).join(told, "id_b")
         listed = F.array_sort(F.collect_list(F.struct("rank", F.col("id_b").alias("id"), "title", "content", F.col("score"))))
-        out = out.join(found.groupBy(F.col("id_a").alias("item_id_a")).agg(listed.alias({"rule": "rules", "accepted_example": "accepted", "rejected_example": "rejected"}.get(kind, kind))), "item_id_a", "left")
+        contexts = contexts.join(found.groupBy(F.col("id_a").alias("hash")).agg(listed.alias({"rule": "rules", "accepted_example": "accepted", "rejected_example": "rejected"}.get(kind, kind))), "hash", "left")
+    out = asked.select("item_id_a", "hash").join(contexts, "hash").drop("hash")
     hint = F.concat(F.lit("A category "), quoted(F.col("category")), F.lit(" typically maps to B categories: "), F.col("hint"))
     hints = categories.join(bridge_hints(targets), F.lower("category") == F.col("a_category")).select("item_id_a", hint.alias("bridge_hint"))
     return out.join(alias_checks(scored, aliases), "item_id_a", "left").join(hints, "item_id_a", "left")
