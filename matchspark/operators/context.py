@@ -39,7 +39,7 @@ def sure_targets(wide: DataFrame, support: int = 10, share: float = 0.0, levels:
 
 def bridge_hints(targets: DataFrame, k: int = 3) -> DataFrame:
     """(a_category, hint): the k first targets of a category as a line."""
-    said = F.concat("b_category", F.lit(" (share="), F.format_string("%.2f", "share"), F.lit(")"))
+    said = F.concat("b_category", F.lit(" (share="), text.two_places(F.col("share")), F.lit(")"))
     ordered = F.array_sort(F.collect_list(F.struct("rank", said.alias("t"))))
     return targets.where(F.col("rank") <= k).groupBy("a_category").agg(F.array_join(F.transform(ordered, lambda x: x["t"]), "; ").alias("hint"))
 
@@ -56,7 +56,7 @@ def alias_entries(candidates: DataFrame, least: float = 95) -> DataFrame:
 def bridge_entries(wide: DataFrame, support: int = 10, share: float = 0.4, k: int = 2) -> DataFrame:
     """An entry for each category whose first targets, k at most, have enough share."""
     good = top(sure_targets(wide, support, share), ["a_category"], ["rank"], k).drop("rank").withColumn("rank", F.lit(1))
-    said = F.concat("b_category", F.lit(" (share="), F.format_string("%.2f", "share"), F.lit(")"))
+    said = F.concat("b_category", F.lit(" (share="), text.two_places(F.col("share")), F.lit(")"))
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("share")).alias("s"), said.alias("t"))))
     rows = good.groupBy("a_category").agg(F.array_join(F.transform(ordered, lambda x: x["t"]), "; ").alias("t"), F.max("share").alias("confidence"))
     return entries(rows, F.concat(F.lit("bridge_"), F.replace("a_category", F.lit(" "), F.lit("_"))), "bridge", F.concat(F.lit("Category bridge: "), quoted(F.col("a_category"))), F.concat(F.lit("Category "), quoted(F.col("a_category")), F.lit(" of A maps to B's "), F.col("t")), F.col("confidence"), tags=["category_bridge"])

@@ -140,3 +140,21 @@ def test_routes_need_no_categories(spark):
     assert told(one) == told(two)
     assert "category_norm_a" not in two.schema["class_a"].dataType.names
     assert two.count() <= one.count()
+
+
+def test_bridge_parses_sizes_once_a_form(spark):
+    from matchspark.plans import audit_queries, catalog_queries
+
+    for q in (catalog_queries.category_bridge, audit_queries.bridge_entries, audit_queries.bridge_hints):
+        plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp" in plan
+        lines = plan.splitlines()
+        scan = next(i for i, x in enumerate(lines) if "Relation" in x)
+        forms = max(i for i, x in enumerate(lines[:scan]) if "Aggregate" in x)
+        assert not any("regexp" in x for x in lines[forms:scan])
+
+
+def test_shares_are_printed_as_sql_prints_them(spark):
+    shares = [0.175, 0.125, 0.375, 0.285, 0.29, 0.5, 0.1749, 0.0, 1.0, 0.005, 0.015, *[i / 1000 for i in range(0, 1000, 7)], *[(2 * i + 1) / 200 for i in range(100)]]
+    got = [r.t for r in spark.createDataFrame([(x,) for x in shares], "x double").select(text.two_places(F.col("x")).alias("t")).collect()]
+    assert got == [f"{x:.2f}" for x in shares]
