@@ -165,6 +165,26 @@ def test_bridge_counts_rows_without_sorting_them(spark):
             assert not any("Sort" in x for x in lines[first:scan])
 
 
+def test_kinds_find_first_ids_without_sorting_rows(spark, tmp_path):
+    from matchspark.operators import catalog
+
+    r = random.Random(3)
+    keys = [*r.sample(range(-1200, 12000), 600), *range(-12, 12), None]
+    rows = [(k, "nut", f"Brand#{r.randrange(3)}", r.choice(["LARGE", "SMALL"]), r.randrange(1, 3), 1.0) for k in dict.fromkeys(keys)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    columns = ("brand_raw", "info_category_0", "size_text")
+    both = zip(catalog.kinds(spark, str(tmp_path), *columns, ids=True), catalog.sides(spark, str(tmp_path), *columns), strict=True)
+    for s, (few, every) in zip("ab", both, strict=True):
+        by = [f"{c}_{s}" for c in columns]
+        want = every.groupBy(*by).agg(F.min(f"item_id_{s}").alias("first"), F.count("*").alias("n"))
+        got = few.select(*by, f"item_id_{s}", f"n_{s}")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.toDF(*got.columns).collect()))
+        lines = few._jdf.queryExecution().executedPlan().toString().splitlines()
+        scan = next(i for i, x in enumerate(lines) if "FileScan" in x)
+        assert not any("Sort" in x for x in lines[max(i for i, x in enumerate(lines[:scan]) if "Exchange" in x) : scan])
+    assert not any("item_id" in c for d in catalog.kinds(spark, str(tmp_path), *columns) for c in d.columns)
+
+
 def test_shares_are_printed_as_sql_prints_them(spark):
     shares = [0.175, 0.125, 0.375, 0.285, 0.29, 0.5, 0.1749, 0.0, 1.0, 0.005, 0.015, *[i / 1000 for i in range(0, 1000, 7)], *[(2 * i + 1) / 200 for i in range(100)]]
     got = [r.t for r in spark.createDataFrame([(x,) for x in shares], "x double").select(text.two_places(F.col("x")).alias("t")).collect()]
